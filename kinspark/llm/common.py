@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word: a run without ASCII white space.
@@ -47,17 +47,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+def least_hashed(rows: DataFrame, group: str, count: int, salts: int = 64) -> DataFrame:
+    """The count rows of each group of least hashed doc_id. Each salt of a group is ranked by
+    itself first, so the task that ranks a whole group gets at most salts x count rows."""
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    salted = rows.withColumn("__s", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
+    part = salted.withColumn("__r", F.row_number().over(Window.partitionBy(group, "__s").orderBy(*order))).where(F.col("__r") <= count).drop("__r", "__s")
+    return part.withColumn("__r", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("__r") <= count).drop("__r")
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int) -> list[tuple[str, int]]:
     """(text, label) of at most per_class documents of each label value, the ones of least
     hashed id, from the folds that may be learnt from. Where labels repeat, the greatest
     counts. Only ids and labels are ranked; whole texts of the chosen rows come to the driver."""
-    from pyspark.sql import Window
-
     one = labels.where(learnable(F.col("doc_id")) & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("__y"))
-    rank = F.row_number().over(Window.partitionBy("__y").orderBy(F.xxhash64("doc_id"), "doc_id"))
     # only labels of documents that are there count towards the bound
     there = one.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
-    chosen = there.withColumn("__r", rank).where(F.col("__r") <= per_class).select("doc_id", "__y")
+    chosen = least_hashed(there, "__y", per_class).select("doc_id", "__y")
     # two classes of per_class ids each: a size that does not grow with the input
     rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "__y").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))

@@ -20,11 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from .common import held_out, learnable
+from .common import held_out, learnable, least_hashed
 from .ngrams import Layout, bucket, groups, totals
 
 BITS = 16
@@ -128,9 +128,8 @@ def train(rows: list[tuple[str, str]]) -> Model:
 
 def fit(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Counted on the per_language documents of each language of least hashed id."""
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     marked = documents.where(learnable(F.col("doc_id")) & F.col("lang").isNotNull())
-    chosen = marked.select("doc_id", "lang").withColumn("__r", rank).where(F.col("__r") <= per_language).select("doc_id").distinct()
+    chosen = least_hashed(marked.select("doc_id", "lang"), "lang", per_language).select("doc_id").distinct()
     # per_language ids for each language code: a size that does not grow with the input
     rows = marked.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").where("text is not null").collect()
     return train([(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))])
