@@ -22,6 +22,7 @@ added columns (score, predicted) replace columns of those names. A sentence ends
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -168,7 +169,7 @@ def sentences(words: list[str]) -> list[list[str]]:
         else:
             flush()
             if t:
-                out[-1][t] = None
+                out[-1][sys.intern(t)] = None
         if ends_sentence(w, t) or read == MOST_TOKENS:
             flush()
             out.append({})
@@ -308,18 +309,23 @@ def train(rows: list[tuple[str, int]], rounds: int = 3) -> Model:
     values, vectors = np.linalg.eigh(landmarks.kernel(marks).astype(np.float64))
     keep = values > 1e-3 * values.max()
     half = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)  # K^(-1/2), the Nyström map
-    features = np.concatenate([_sentence_features([s for d, _ in docs[i : i + 50] for s in d], landmarks, half) for i in range(0, len(docs), 50)])
+    features, filled = np.zeros((sum(len(d) for d, _ in docs), half.shape[1]), np.float32), 0
+    for i in range(0, len(docs), 50):
+        part = _sentence_features([s for d, _ in docs[i : i + 50] for s in d], landmarks, half)
+        features[filled : filled + len(part)] = part
+        filled += len(part)
     owner = np.repeat(np.arange(len(docs)), [len(d) for d, _ in docs])
     label = np.array([y for _, y in docs])
     bad = label[owner] == 1
     # the first guess at a toxic document's sentence: the one with the mark of most weight
     rank = {t: 1 / (1 + i) for i, t in enumerate(marks[: LANDMARKS * 2 // 3])}
     odds = np.array([sum(rank.get(t, 0.0) for t in set(s)) for d, _ in docs for s in d])
+    del docs, sets  # the margins below need the texts alone
     rng = np.random.default_rng(1)
     chance = rng.random(len(owner))
     w, b = np.zeros(features.shape[1]), 0.0
     for r in range(rounds):
-        value = odds if r == 0 else features @ w + b
+        value = odds if r == 0 else features @ w.astype(np.float32) + b
         order = np.lexsort((chance, -value, owner))
         first = order[np.r_[True, owner[order][1:] != owner[order][:-1]]]
         positive = first[label[owner[first]] == 1]
@@ -329,6 +335,7 @@ def train(rows: list[tuple[str, int]], rounds: int = 3) -> Model:
         pick = np.r_[positive, hard, loose]
         y = np.where(np.arange(len(pick)) < len(positive), 1.0, -1.0)
         w, b = svm(features[pick], y, np.where(y > 0, (y < 0).sum() / max(1, len(positive)), 1.0) * 0.5)
+    del features
     model = Model(landmarks.table((half @ w).astype(np.float32)), float(b), 1.0, 0.0)
     margins = model.margins([t for t, _ in rows])
     model.slope, model.shift = logistic(margins, np.array([y for _, y in rows], float))
