@@ -223,6 +223,7 @@ def templates(pages: DataFrame) -> DataFrame:
         F.collect_list(F.when(F.col("kind") == TEXT, F.col("token"))).alias("texts"),
         F.max(F.when(F.col("kind") == PLACE, F.struct("chars", "token"))).alias("place"),
     )
+    classes = cut(classes)  # read three times, and whole pages are read for it
     of_host = classes.groupBy("host").agg(F.max("pages").alias("all"), F.max(F.struct("place.chars", "place.token")).alias("best"))
     valid = classes.join(of_host.where(F.col("all") >= LEAST_PAGES).select("host", "all"), "host").where((F.col("size") >= 2) & (F.col("pages") >= SUPPORT * F.col("all")))
     fixed = valid.groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("boilerplate"))
