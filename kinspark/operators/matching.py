@@ -51,38 +51,6 @@ def rank_decay(scored: DataFrame, gap: float | None = 0.1, tail: int | None = 5,
     return r.where(keep).drop("top")
 
 
-def assign_calibrated(scored: DataFrame) -> DataFrame:
-    """Greedy by calibrated priority, at most two vendors of a catalogue for a reference record.
-    What is accepted depends on both ends of a pair, so pairs above the least threshold are settled
-    in order, by country and catalogue, between which no pair has an end in common."""
-    bonus = F.when(F.col("digit_status") == "confirm", 0.05).when(F.col("digit_status") == "conflict", -0.5).otherwise(0.0)
-
-    def settle(rows):
-        taken, used = {}, set()
-        out = []
-        for r in sorted(rows, key=lambda r: (-r["priority"], r["s1_id"], r["cid"])):
-            key = (r["s1_id"], r["cid"][:2])
-            if r["cid"] in used or taken.get(key, 0) >= 2:
-                continue
-            sure = r["digit_status"] == "confirm"
-            need = (0.85 if sure else 0.90) if not taken.get(key) else (0.92 if sure else 9.0)
-            if r["prob"] >= need:
-                used.add(r["cid"])
-                taken[key] = taken.get(key, 0) + 1
-                out.append(r)
-        return out
-
-    import pandas as pd
-
-    def group(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(settle(pdf.to_dict("records")), columns=pdf.columns)
-
-    rows = scored.select("s1_id", "cid", "prob", "digit_status", "country", F.round(F.col("prob") + bonus, 9).alias("priority"))
-    eligible = rows.where(F.col("prob") >= 0.85)  # no threshold is below that
-    grouped = eligible.withColumn("catalogue", F.substring("cid", 1, 2))
-    return grouped.groupBy("country", "catalogue").applyInPandas(group, grouped.schema).drop("catalogue")
-
-
 # ----------------------------------------------------------------- evaluation
 def entity_scores(truth: DataFrame, found: DataFrame) -> DataFrame:
     """(s1_id, p, r, f05) from id arrays (truth: s1_id, ids; found: s1_id, got); a missing prediction is empty."""

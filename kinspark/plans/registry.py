@@ -287,7 +287,6 @@ PARTS = {
     "assign_rank_decay": (lambda s, d: M.assign_greedy(M.rank_decay(scored(s, d))).select("s1_id", "cid", "prob"), f"""{REC}{KEYS}{CANDIDATES}{FEATURES}, rk AS (SELECT *, row_number() OVER w AS rank, max(prob) OVER (PARTITION BY s1_id) AS top FROM sc WINDOW w AS (PARTITION BY s1_id ORDER BY prob DESC, cid)),
         kp AS (SELECT * FROM rk WHERE rank = 1 OR (rank <= 3 AND prob >= 0.88 AND round(top - prob, 9) <= 0.1) OR (rank IN (4, 5) AND digit_status = 'confirm' AND prob >= 0.92 AND round(top - prob, 9) <= 0.05))
         SELECT s1_id, cid, prob FROM kp k WHERE NOT EXISTS (SELECT 1 FROM kp o WHERE o.cid = k.cid AND (o.prob > k.prob OR (o.prob = k.prob AND o.s1_id < k.s1_id)))"""),
-    "assign_calibrated": (lambda s, d: M.assign_calibrated(scored(s, d)).select("s1_id", "cid", "prob"), None),
     "eval_entity": (lambda s, d: _entity(s, d).select("s1_id", *[F.col(c).cast("long").alias(c) for c in ("tp", "n_true", "n_found")], *[F.round(c, 6).alias(c) for c in ("p", "r", "f05")]), f"{REC}{KEYS}{CANDIDATES}{FEATURES}{GREEDY}{TRUTH}{ENTITY} SELECT s1_id, tp, n_true, n_found, round(p, 6) AS p, round(r, 6) AS r, round(f05, 6) AS f05 FROM es"),
     "eval_macro_micro": (lambda s, d: M.macro_micro(_entity(s, d)), f"""{REC}{KEYS}{CANDIDATES}{FEATURES}{GREEDY}{TRUTH}{ENTITY}, mi AS (SELECT sum(tp) / sum(n_found) AS p, sum(tp) / sum(n_true) AS r FROM es WHERE n_true > 0)
         SELECT count(*) AS entities, round(avg(f05), 6) AS macro_f05, round(avg(es.p), 6) AS macro_p, round(avg(es.r), 6) AS macro_r, count(*) FILTER (n_true = 0) AS singletons, count(*) FILTER (n_true = 0 AND n_found = 0) AS singletons_right,
@@ -318,9 +317,15 @@ PARTS = {
 }
 
 
+def _all() -> dict:
+    from . import cleaning, learned
+
+    return PARTS | cleaning.PARTS | learned.PARTS
+
+
 def queries() -> dict:
-    return {k: q for k, (q, _) in PARTS.items()}
+    return {k: q for k, (q, _) in _all().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: sql for k, (_, sql) in PARTS.items() if sql}
+    return {k: sql for k, (_, sql) in _all().items() if sql}
