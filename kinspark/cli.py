@@ -14,6 +14,7 @@ from .functions import text as T
 from .operators import blocking as B
 from .operators import matching as M
 from .sources import views as V
+from .sources.state import cut
 
 
 def lists(spark: SparkSession, path: str) -> DataFrame:
@@ -23,12 +24,13 @@ def lists(spark: SparkSession, path: str) -> DataFrame:
 
 
 def records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Record files with normalised names and addresses; the source is in the id."""
+    """Record files with normalised names and addresses, written once as plans read them often; the source is in the id."""
     out = V.read_source(spark, paths[0])
     for p in paths[1:]:
         out = out.unionByName(V.read_source(spark, p))
     clean = N.with_clean(out)
-    return clean.select("entity_id", F.col("name_clean").alias("business_name"), F.col("address_clean").alias("business_address"), "country", F.substring("entity_id", 1, 2).alias("source"), F.xxhash64("entity_id").alias("ordinal"))
+    made = clean.select("entity_id", F.col("name_clean").alias("business_name"), F.col("address_clean").alias("business_address"), "country", F.substring("entity_id", 1, 2).alias("source"), F.xxhash64("entity_id").alias("ordinal"))
+    return cut(made)
 
 
 def evaluate(spark: SparkSession, args: argparse.Namespace) -> dict:
