@@ -109,8 +109,8 @@ def _syndromes() -> np.ndarray:
     return _syndrome(np.arange(1 << WORD_BITS, dtype=np.uint32)).astype(np.uint16)
 
 
-def anchors_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index of the fingerprint, anchor, at home) for every anchor each must visit."""
+def anchors_of(fps: np.ndarray, beyond: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the fingerprint, anchor, at home) for every anchor each must visit, at most beyond the covering radius."""
     starts, patterns, extra = _errors()
     mask = np.uint64((1 << WORD_BITS) - 1)
     v1, v2 = (fps & mask).astype(np.uint32), ((fps >> np.uint64(WORD_BITS)) & mask).astype(np.uint32)
@@ -119,7 +119,7 @@ def anchors_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     who = np.repeat(np.arange(len(fps)), n1 * n2)
     k = np.arange(len(who)) - np.repeat(np.cumsum(n1 * n2) - n1 * n2, n1 * n2)
     i1, i2 = starts[s1][who] + k // n2[who], starts[s2][who] + k % n2[who]
-    near = extra[i1] + extra[i2] <= THRESHOLD
+    near = extra[i1] + extra[i2] <= beyond
     who, i1, i2 = who[near], i1[near], i2[near]
     anchor = ((v1[who] ^ patterns[i1]).astype(np.int64) << WORD_BITS) | (v2[who] ^ patterns[i2]).astype(np.int64)
     return who, anchor, extra[i1] + extra[i2] == 0
@@ -258,11 +258,15 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", simhash: str = "simhash") -> DataFrame:
     """docs and component_id, the least doc_id that can be reached by links."""
     per_fp = cut(docs.groupBy(F.col(simhash).alias("fp")).agg(F.min(doc_id).alias("first_id")))
-    roots = components(links_of(per_fp))
+    return _with_components(docs, per_fp, links_of(per_fp), simhash)
+
+
+def _with_components(docs: DataFrame, per_fp: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    roots = components(links)
     joined = per_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_fp = joined.join(least, "root").select(F.col("fp").alias("__fp"), "component_id")
-    return docs.drop("component_id").join(by_fp, F.col(simhash) == F.col("__fp")).drop("__fp")
+    return docs.drop("component_id").join(by_fp, F.col(name) == F.col("__fp")).drop("__fp")
 
 
 def op1_simhash(docs: DataFrame) -> DataFrame:
