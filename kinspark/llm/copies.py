@@ -136,13 +136,16 @@ class Cell:
     def add(self, rows: np.ndarray, home: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         links = []
         for at in range(0, len(rows), BLOCK):
-            part, known = rows[at : at + BLOCK], len(self.leaders)
-            to_known = [distances(part, self.leaders[lo : lo + BLOCK]) for lo in range(0, known, BLOCK)]
-            d = np.concatenate(to_known, axis=1) if to_known else np.zeros((len(part), 0), np.uint16)
-            close = (d <= 2 * self.limit).any(axis=1)
-            for r in range(len(part)):
-                if home[at + r] or close[r]:
-                    links += self._place(part[r], d[r] if close[r] else None, known, bool(home[at + r]))
+            part, stays = rows[at : at + BLOCK], home[at : at + BLOCK]
+            # visitors are held against the leaders that this block brings, too
+            for some, stay in ((part[stays], True), (part[~stays], False)):
+                known = len(self.leaders)
+                to_known = [distances(some, self.leaders[lo : lo + BLOCK]) for lo in range(0, known, BLOCK)]
+                d = np.concatenate(to_known, axis=1) if to_known else np.zeros((len(some), 0), np.uint16)
+                close = (d <= 2 * self.limit).any(axis=1)
+                for r in range(len(some)):
+                    if stay or close[r]:
+                        links += self._place(some[r], d[r] if close[r] else None, known, stay)
         return links
 
     def _place(self, row: np.ndarray, d: np.ndarray | None, known: int, stays: bool) -> list[tuple[np.ndarray, np.ndarray]]:

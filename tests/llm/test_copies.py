@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kinspark.llm import copies as C
@@ -77,6 +78,20 @@ def test_a_cell_joins_what_all_pairs_join(seed):
     assert len({(root(i), want[i]) for i in want}) == len(set(want.values())) == len({root(i) for i in want})
 
 
+@pytest.mark.parametrize("homes", [2, 30])
+def test_a_cell_joins_visitors_of_its_first_block(homes):
+    rng = random.Random(homes)
+    word = lambda: np.array([rng.getrandbits(64) for _ in range(C.WIDE)], np.uint64)
+    at_home = [word() for _ in range(homes)]
+    visitors = [flipped(rng, x, 20) for x in at_home] + [word() for _ in range(20)]
+    rows, home = np.stack(at_home + visitors), np.arange(homes + len(visitors)) < homes
+    want = {(v.tobytes(), x.tobytes()) for v, x in zip(visitors[:homes], at_home, strict=True)}
+    assert {(a.tobytes(), b.tobytes()) for a, b in C.Cell().add(rows, home)} == want
+    spot = pa.array(np.where(home, 14, 15))  # as a batch of its own, which may run on
+    batch = pa.RecordBatch.from_arrays([spot, *(pa.array(rows[:, k].view(np.int64)) for k in range(C.WIDE))], ["spot", "s0", "s1", "s2", "s3"])
+    assert {(r["a"], r["b"]) for b in C._links(iter([batch])) for r in b.to_pylist()} == want
+
+
 def test_finds_near_copies_and_leaves_others(spark):
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(3000)]
