@@ -155,10 +155,12 @@ class _Anchor:
             self.fps = np.concatenate([self.fps, part[stays]])
             self.up += range(base, len(self.fps))
             first = np.full(len(part), -1)
+            own = np.where(stays, base + np.cumsum(stays) - 1, -1)
             for lo in range(0, len(self.fps), BLOCK):
                 known = self.fps[lo : lo + BLOCK]
-                # a pair counts once, at the home of its lesser fingerprint
-                hit = (np.bitwise_count(part[:, None] ^ known[None, :]) <= THRESHOLD) & (known[None, :] < part[:, None])
+                # a pair counts once: of one home, as its second row arrives; else at the home of its lesser fingerprint
+                once = np.where(stays[:, None], lo + np.arange(len(known))[None, :] < own[:, None], known[None, :] < part[:, None])
+                hit = (np.bitwise_count(part[:, None] ^ known[None, :]) <= THRESHOLD) & once
                 for r in np.flatnonzero(hit.any(axis=1)):
                     found = np.flatnonzero(hit[r]) + lo
                     if first[r] < 0:

@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -59,6 +61,17 @@ def test_matches_brute_force(spark, sf):
     assert {d: r.component_id for d, r in got.items()} == brute(list(prints.items()))
 
 
+@pytest.mark.parametrize("cut", [2, 3, 5])
+def test_pairs_of_one_home_meet_over_blocks_and_batches(monkeypatch, cut):
+    monkeypatch.setattr(S, "BLOCK", 2)
+    home = np.array([x | top << 63 for x in (0, 1 << 50 | 7 << 55, 5 << 47 | 3 << 59) for top in (0, 1)], np.uint64)
+    fps = np.sort(home.view(np.int64))  # the greater of each pair comes first
+    column = lambda x: pa.array(np.full(len(x), 0))
+    batches = [pa.RecordBatch.from_arrays([column(x), column(x), pa.array(x)], ["spot", "anchor", "fp"]) for x in (fps[:cut], fps[cut:])]
+    found = {frozenset(x % 2**64 for x in r.values()) for b in S._links(iter(batches)) for r in b.to_pylist()}
+    assert found == {frozenset((int(x), int(x) ^ 1 << 63)) for x in home}
+
+
 def test_chains_and_a_large_group(spark):
     rng = random.Random(5)
     rows, x = [], rng.getrandbits(64)
