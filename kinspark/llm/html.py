@@ -1,7 +1,7 @@
 """Main text of web pages by equivalence-class template deduction.
 
 A page is read into blocks of text, each with its path of block elements. Tokens are the
-paths that occur in a page, and the texts of blocks outside an article. Over all pages of
+paths that occur in a page, and the texts of its blocks, articles included. Over all pages of
 a host, a token's occurrence vector (how often each page has it) is summed up as a
 hash that does not depend on the order of pages; tokens of one host with equal vectors form an equivalence
 class. Classes are valid if they have at least two tokens and occur in at least SUPPORT
@@ -195,8 +195,8 @@ def tokens_of(blocks: list[Block]) -> list[tuple[int, int, int, int]]:
     chars: Counter = Counter()
     for b in blocks:
         count[token(b.path), PATH] += 1
+        count[token(b.path, b.text), TEXT] += 1
         if not b.rank:
-            count[token(b.path, b.text), TEXT] += 1
             place = container(b.path)
             count[token(place), PLACE] += 1
             chars[token(place), PLACE] += 0 if b.linked else len(b.text)
@@ -232,10 +232,12 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def main_text(page: str | None, boilerplate: set[int], place: int | None) -> str:
     blocks = read_page(page)
+    free = [b for b in blocks if token(b.path, b.text) not in boilerplate]
+    # of what the template leaves open, a marked article is the content; it chooses, and does not bring fixed texts back
     top = max((b.rank for b in blocks), default=0)
     if top:
-        return "\n".join(b.text for b in blocks if b.rank == top)
-    free = [b for b in blocks if not b.linked and token(b.path, b.text) not in boilerplate]
+        return "\n".join(b.text for b in free if b.rank == top)
+    free = [b for b in free if not b.linked]
     # the host's container with all that is nested in it; a page without it is read as a whole
     home = next((c for b in free for c in [container(b.path)] if token(c) == place), None)
     return "\n".join(b.text for b in free if home is None or container(b.path).startswith(home))

@@ -141,6 +141,13 @@ def test_template_of_a_host_without_articles(spark):
     assert got[50].text == "" and got[51].text == "a" and len(got) == 14
 
 
+def test_template_holds_for_articles(spark):
+    body = lambda i: f"<body><article><p>Read on our site</p><p>Story {i} begins.</p><p>It ends as {i}.</p><p>Send us your views</p></article></body>"
+    rows = [(i, f"http://h.example/{i}", body(i)) for i in range(12)]
+    got = {r.url: r.text for r in html.op5_html(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got["http://h.example/3"] == "Story 3 begins.\nIt ends as 3."
+
+
 # ---------------------------------------------------------------------------- op8
 def test_chat_round_trip(spark, tables):
     got = {r.conv_id: r for r in chat.op8_chat(tables["conversations"]).collect()}
