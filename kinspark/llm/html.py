@@ -4,11 +4,12 @@ A page is read into blocks of text, each with its path of block elements. Tokens
 paths that occur in a page, and the texts of its blocks, articles included. Over all pages of
 a host, a token's occurrence vector (how often each page has it) is summed up as a
 hash that does not depend on the order of pages; tokens of one host with equal vectors form an equivalence
-class. Classes are valid if they have at least two tokens and occur in at least SUPPORT
-of the host's pages; nested by support and path, they are the host's template: its
-fixed texts are boilerplate, and its containers hold the slots. What a page has in the
-slots of the content is its main text: the blocks inside `article` or `main` where the
-page has them, else those of the container that has most text of its own in the host's pages.
+class. Classes are valid if they have at least two tokens (the page itself is one), occur in at
+least SUPPORT of the host's pages, of LEAST_PAGES or more, and their tokens recur in one order on
+every page. Taken by falling support, a class joins the template if, on every page, it lies in one
+slot of each class before it or holds that in one of its own. The template's texts are fixed; what
+is between them fills its slots. Of that, a page's main text is what is inside `article` or `main`
+where the page has them, else in the container that has most text of its own in the host's pages.
 Elements that say what they are (navigation, footers, forms, adverts, ...) are never content.
 
 Occurrence hashes and counts are sums by host and token, combined before the shuffle, so
@@ -24,15 +25,16 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, LongType, StringType
 
 from .common import cut
 from .urls import parts_of
@@ -212,21 +214,89 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
+def relations(blocks: list[Block], class_of: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(a, b, how) of a page's classes. For a = b, the hash of the order in which the tokens of the class recur, 0 if in
+    none; else the slot of a that holds all of b, 0 before, after or between the recurrences of a, -1 if in no one slot."""
+    places: dict[int, list[tuple[int, int]]] = {}
+    tokens = [token(""), *(t for b in blocks for t in (token(b.path), token(b.path, b.text)))]
+    for at, t in enumerate(tokens):
+        if t in class_of:
+            places.setdefault(class_of[t], []).append((at, t))
+    found, ordered = [], {}
+    for c, own in places.items():
+        size = len({t for _, t in own})
+        order = [t for _, t in own[:size]]
+        runs = len(set(order)) == size and [t for _, t in own] == order * (len(own) // size)
+        found.append((c, c, token(*map(str, order)) or 1 if runs else 0))
+        if runs:
+            ordered[c] = ([at for at, _ in own], size)
+    for a, (at, size) in ordered.items():
+        for b, (other, n) in ordered.items():
+            if a != b:
+                ends = {(bisect_left(at, other[i]), bisect_left(at, other[i + n - 1])) for i in range(0, len(other), n)}
+                slots = {x % size if x == y else -1 for x, y in ends}
+                found.append((a, b, slots.pop() if len(slots) == 1 else -1))
+    return found
+
+
+def _relate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sets: dict = {}
+    for b in batches:
+        rows = []
+        for h, page, known in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+            if h not in sets:
+                sets[h] = {t["token"]: t["class"] for t in known.as_py()}
+            rows += [(h, *r) for r in relations(read_page(page), sets[h])]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.string(), pa.int64(), pa.int64(), pa.int64()], strict=True)], ["host", "a", "b", "how"])
+
+
+def nested(classes: list[dict], fits: set[tuple[int, int]]) -> list[int]:
+    """The classes of a host's template, by falling support: those in one order on every page that lie, on every page,
+    in one slot of each class taken before, or hold it in one of theirs."""
+    taken: list[int] = []
+    for c in sorted(classes, key=lambda c: (-c["pages"], -c["size"], c["class"])):
+        k = c["class"]
+        if (k, k) in fits and all((k, x) in fits or (x, k) in fits for x in taken):
+            taken.append(k)
+    return taken
+
+
+def _nest(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for classes, fits in columns:
+        yield pa.array([nested(c, {(f["a"], f["b"]) for f in x or []}) for c, x in zip(classes.to_pylist(), fits.to_pylist(), strict=True)], pa.list_(pa.int64()))
+
+
+_nest.__annotations__ = {"columns": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+
+
+def _small(table: DataFrame, bytes_of: Column) -> DataFrame:
+    """table, broadcast if it is measured to be small."""
+    return F.broadcast(table) if (table.agg(F.sum(bytes_of)).first()[0] or 0) < BROADCAST_BYTES else table
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """host, boilerplate (tokens of fixed texts) and place (the token of the content's container), from pages (host, page, html)."""
+    from pyspark.sql.pandas.functions import arrow_udf
+
     rows = pages.select("host", "page", "html").mapInArrow(_count, "host string, page long, token long, kind int, n long, chars long")
     vectors = rows.groupBy("host", "token", "kind").agg(F.count("*").alias("pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.sum("chars").alias("chars"))
+    vectors = cut(vectors)  # read three times, and whole pages are read for it
     root = token("")
-    # the classes of a host: tokens of one vector
-    classes = vectors.groupBy("host", "pages", "vector").agg(
-        F.count_if(F.col("kind") != PLACE).alias("size"), F.max((F.col("token") == root) & (F.col("kind") == PATH)).alias("in_all"),
-        F.collect_list(F.when(F.col("kind") == TEXT, F.col("token"))).alias("texts"),
-        F.max(F.when(F.col("kind") == PLACE, F.struct("chars", "token"))).alias("place"),
-    )
-    classes = cut(classes)  # read three times, and whole pages are read for it
-    of_host = classes.groupBy("host").agg(F.max("pages").alias("all"), F.max(F.struct("place.chars", "place.token")).alias("best"))
-    valid = classes.join(of_host.where(F.col("all") >= LEAST_PAGES).select("host", "all"), "host").where((F.col("size") >= 2) & (F.col("pages") >= SUPPORT * F.col("all")))
-    fixed = valid.groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("boilerplate"))
+    of_host = vectors.groupBy("host").agg(F.max(F.when((F.col("token") == root) & (F.col("kind") == PATH), F.col("pages"))).alias("all"), F.max(F.when(F.col("kind") == PLACE, F.struct("chars", "token"))).alias("best"))
+    # the classes of a host: tokens of one vector, collected only where they have the support
+    held = vectors.where(F.col("kind") != PLACE).join(of_host.where(F.col("all") >= LEAST_PAGES).select("host", "all"), "host").where(F.col("pages") >= SUPPORT * F.col("all"))
+    classes = held.withColumn("class", F.xxhash64("pages", "vector")).groupBy("host", "class", "pages").agg(F.count("*").alias("size"), F.collect_list(F.struct("token", "kind")).alias("tokens")).where("size >= 2")
+    classes = cut(classes)
+    known = classes.select("host", "class", F.explode("tokens").alias("t")).groupBy("host").agg(F.collect_list(F.struct("t.token", "class")).alias("known"))
+    known = _small(cut(known).withColumnRenamed("host", "h"), F.size("known") * 16 + 64)
+    how = pages.join(known, F.col("host") == F.col("h")).select("host", "html", "known").mapInArrow(_relate, "host string, a long, b long, how long")
+    fits = how.groupBy("host", "a", "b").agg(F.min("how").alias("least"), F.max("how").alias("most")).where("least = most and if(a = b, least <> 0, least >= 0)")
+    fits = fits.groupBy("host").agg(F.collect_list(F.struct("a", "b")).alias("fits"))
+    listed = classes.groupBy("host").agg(F.collect_list(F.struct("class", "pages", "size")).alias("classes")).join(fits, "host", "left")
+    taken = listed.withColumn("class", arrow_udf(_nest, ArrayType(LongType()))("classes", "fits")).select("host", F.explode("class").alias("class"))
+    texts = classes.join(taken, ["host", "class"]).select("host", F.transform(F.filter("tokens", lambda t: t["kind"] == TEXT), lambda t: t["token"]).alias("texts"))
+    fixed = texts.groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("boilerplate"))
     return of_host.join(fixed, "host", "left").select("host", F.coalesce("boilerplate", F.array().cast("array<bigint>")).alias("boilerplate"), F.col("best.token").alias("place"))
 
 
@@ -263,8 +333,7 @@ def extract(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
     host, _ = parts_of(F.col("url"))
     keyed = pages.withColumns({"__host": host, "__page": F.xxhash64(page_id, "url")})
     found = cut(templates(keyed.select(F.col("__host").alias("host"), F.col("__page").alias("page"), "html")))
-    weight = found.agg(F.sum(F.size("boilerplate") * 8 + 64 + F.length("host"))).first()[0] or 0
-    table = F.broadcast(found) if weight < BROADCAST_BYTES else found
+    table = _small(found, F.size("boilerplate") * 8 + 64 + F.length("host"))
     joined = keyed.join(table.select(F.col("host").alias("__h"), F.col("boilerplate").alias("__fixed"), F.col("place").alias("__place")), F.col("__host") == F.col("__h"), "left")
     out = joined.withColumn("text", arrow_udf(_texts, StringType())("html", "__fixed", "__place"))
     return out.withColumn("n_chars", F.length("text").cast("long")).drop("__host", "__page", "__h", "__fixed", "__place")

@@ -148,6 +148,19 @@ def test_template_holds_for_articles(spark):
     assert got["http://h.example/3"] == "Story 3 begins.\nIt ends as 3."
 
 
+def test_template_is_in_order_and_nested(spark):
+    texts = lambda i: ["x", "y"] if i % 2 else ["y", "x"]
+    body = lambda i: "<body>" + "".join(f"<p>{t}</p>" for t in [*texts(i), f"a{i}"]) + "</body>"
+    rows = [(i, f"http://h.example/{i}", body(i)) for i in range(12)]
+    got = {r.page_id: r.text for r in html.op5_html(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "x\ny\na3" and got[4] == "y\nx\na4"  # tokens without one order are no template
+    of = {html.token("p", t): k for k, ts in ((1, "ad"), (2, "bc")) for t in ts}
+    how = lambda s: {(a, b): x for a, b, x in html.relations([html.Block("p", t, 0, False) for t in s], of)}
+    assert how("abxcd")[1, 2] == 1 and how("abxcd")[2, 1] == -1 and how("abdc")[1, 2] == -1 and how("adbcad")[1, 2] == 0 and how("abcadd")[1, 1] == 0
+    c = [{"class": 1, "pages": 9, "size": 2}, {"class": 2, "pages": 8, "size": 2}]
+    assert html.nested(c, {(1, 1), (2, 2), (1, 2)}) == [1, 2] and html.nested(c, {(1, 1), (2, 2)}) == [1]
+
+
 # ---------------------------------------------------------------------------- op8
 def test_chat_round_trip(spark, tables):
     got = {r.conv_id: r for r in chat.op8_chat(tables["conversations"]).collect()}
