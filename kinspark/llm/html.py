@@ -280,6 +280,7 @@ def templates(pages: DataFrame) -> DataFrame:
     from pyspark.sql.pandas.functions import arrow_udf
 
     rows = pages.select("host", "page", "html").mapInArrow(_count, "host string, page long, token long, kind int, n long, chars long")
+    rows = rows.groupBy("host", "page", "token", "kind").agg(F.max("n").alias("n"), F.max("chars").alias("chars"))  # a page that is there in copies counts once
     vectors = rows.groupBy("host", "token", "kind").agg(F.count("*").alias("pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.sum("chars").alias("chars"))
     vectors = cut(vectors)  # read three times, and whole pages are read for it
     root = token("")
@@ -331,7 +332,7 @@ def extract(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
     from pyspark.sql.pandas.functions import arrow_udf
 
     host, _ = parts_of(F.col("url"))
-    keyed = pages.withColumns({"__host": host, "__page": F.xxhash64(page_id, "url")})
+    keyed = pages.withColumns({"__host": host, "__page": F.xxhash64("html")})
     found = cut(templates(keyed.select(F.col("__host").alias("host"), F.col("__page").alias("page"), "html")))
     table = _small(found, F.size("boilerplate") * 8 + 64 + F.length("host"))
     joined = keyed.join(table.select(F.col("host").alias("__h"), F.col("boilerplate").alias("__fixed"), F.col("place").alias("__place")), F.col("__host") == F.col("__h"), "left")

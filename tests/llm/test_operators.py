@@ -143,9 +143,10 @@ def test_template_of_a_host_without_articles(spark):
 
 def test_template_holds_for_articles(spark):
     body = lambda i: f"<body><article><p>Read on our site</p><p>Story {i} begins.</p><p>It ends as {i}.</p><p>Send us your views</p></article></body>"
-    rows = [(i, f"http://h.example/{i}", body(i)) for i in range(12)]
+    rows = [(i, f"http://h.example/{i}", body(i)) for i in range(12)] + [(i, f"http://o.example/{i}", body(7)) for i in range(12)]
     got = {r.url: r.text for r in html.op5_html(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got["http://h.example/3"] == "Story 3 begins.\nIt ends as 3."
+    assert got["http://o.example/3"].startswith("Read on our site\nStory 7")  # one page in copies shows no template
 
 
 def test_template_is_in_order_and_nested(spark):
