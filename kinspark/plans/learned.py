@@ -54,16 +54,17 @@ def labelled(s: SparkSession, d: str) -> DataFrame:
 
 
 def forest_cv(s: SparkSession, d: str) -> DataFrame:
-    """Each feature's weight in the forest that folds choose."""
+    """Each feature's weight in a forest of 300 trees, and the mean area under ROC of 200 trees on the folds."""
     data = L.prepared(cut(L.sample_negatives(cut(labelled(s, d)))))
-    model = L.cross_validated(data, L.forest(depth=6), [20, 40]).bestModel
-    return s.createDataFrame([(k, round(v, 6)) for k, v in L.importances(model).items()], "feature string, importance double")
+    area = max(L.cross_validated(data, L.forest(depth=12, leaf=5), [200]).avgMetrics)
+    model = L.forest(trees=300, depth=12, leaf=5).fit(data)
+    return s.createDataFrame([(k, round(v, 6), round(area, 6)) for k, v in L.importances(model).items()], "feature string, importance double, cv_area double")
 
 
 def boosted_report(s: SparkSession, d: str) -> DataFrame:
     """Precision and recall of boosted trees by label."""
     data = L.prepared(cut(L.sample_negatives(cut(labelled(s, d)))))
-    return L.report(L.scored(L.boosted(rounds=20).fit(data), data))
+    return L.report(L.scored(L.boosted(rounds=120, depth=6).fit(data), data))
 
 
 def hard_negatives(s: SparkSession, d: str) -> DataFrame:

@@ -114,3 +114,36 @@ def test_profiles(spark):
     assert P.case_counts(df, "business_name").first().asDict() == {"upper": 1, "lower": 1, "title": 1, "n": 5, "mixed": 2}
     assert [x.kind for x in P.address_order(df).collect()] == ["state-first"]
     assert P.pattern_counts(df.limit(0), ["business_name"], P.SUFFIXES).agg(F.sum("n_full")).first()[0] == 0
+
+
+def test_registered_models_have_the_sizes_of_the_survey(spark, monkeypatch):
+    from kinspark.plans import learned as P
+
+    forests, boosts, trees = [], [], []
+
+    class Stop(Exception):
+        pass
+
+    def boosted(**k):
+        boosts.append(k)
+        raise Stop
+
+    def forest(**k):
+        forests.append(L_forest(**k))
+        if len(forests) == 2:
+            raise Stop
+        return forests[0]
+
+    L_forest = L.forest
+    monkeypatch.setattr(P, "labelled", lambda s, d: None)
+    monkeypatch.setattr(P, "cut", lambda x: x)
+    monkeypatch.setattr(L, "sample_negatives", lambda x: x)
+    monkeypatch.setattr(L, "prepared", lambda x: x)
+    monkeypatch.setattr(L, "forest", forest)
+    monkeypatch.setattr(L, "boosted", boosted)
+    monkeypatch.setattr(L, "cross_validated", lambda data, estimator, n: trees.extend(n) or type("M", (), {"avgMetrics": [0.5], "bestModel": None}))
+    for query in (P.forest_cv, P.boosted_report):
+        with pytest.raises(Stop):
+            query(None, "")
+    assert trees == [200] and forests[1].getNumTrees() == 300 and boosts == [{"rounds": 120, "depth": 6}]
+    assert all(f.getMaxDepth() == 12 and f.getMinInstancesPerNode() == 5 for f in forests)
