@@ -37,7 +37,13 @@ RADIUS = 3
 THRESHOLD = 2
 SHINGLE = 3
 #: Rows of one anchor that are compared at a time.
-BLOCK = 4096
+BLOCK = 1024
+#: Rows at home at one anchor that a task compares others with; an anchor with more is split.
+MOST_HOME = 16_384
+#: A fingerprint is hot if more than one of HOT_SHARE rows has it.
+HOT_SHARE = 1000
+#: Rows of a small table that may be broadcast.
+MOST_BROADCAST = 100_000
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -91,13 +97,13 @@ def _syndrome(v: np.ndarray) -> np.ndarray:
     return v
 
 
-@lru_cache(maxsize=1)
-def _errors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each of the 2048 syndromes, the error patterns of weight up to RADIUS + THRESHOLD:
-    starts, patterns, and how far each lies beyond the covering radius (0, 1, 2)."""
+@lru_cache(maxsize=4)
+def _errors(beyond: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each of the 2048 syndromes, the error patterns of weight up to RADIUS + beyond:
+    starts, patterns, and how far each lies beyond the covering radius."""
     from itertools import combinations
 
-    patterns = np.array([sum(1 << b for b in c) for w in range(RADIUS + THRESHOLD + 1) for c in combinations(range(WORD_BITS), w)], np.uint32)
+    patterns = np.array([sum(1 << b for b in c) for w in range(RADIUS + beyond + 1) for c in combinations(range(WORD_BITS), w)], np.uint32)
     weight = np.array([int(p).bit_count() for p in patterns])
     s = _syndrome(patterns)
     order = np.lexsort((patterns, weight, s))
@@ -105,16 +111,22 @@ def _errors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=1)
-def _syndromes() -> np.ndarray:
-    return _syndrome(np.arange(1 << WORD_BITS, dtype=np.uint32)).astype(np.uint16)
+def _syndromes() -> tuple[np.ndarray, np.ndarray]:
+    """Syndromes of the low 12 and of the high 11 bits; they are linear, so those of a word are their XOR."""
+    return _syndrome(np.arange(1 << 12, dtype=np.uint32)), _syndrome(np.arange(1 << 11, dtype=np.uint32) << np.uint32(12))
+
+
+def _words(fps: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The two code words of each fingerprint, and their syndromes."""
+    low, high = _syndromes()
+    both = (fps >> np.uint64(k * WORD_BITS) & np.uint64((1 << WORD_BITS) - 1) for k in (0, 1))
+    return [(v.astype(np.uint32), low[v & np.uint64(0xFFF)] ^ high[v >> np.uint64(12)]) for v in both]
 
 
 def anchors_of(fps: np.ndarray, beyond: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(index of the fingerprint, anchor, at home) for every anchor each must visit, at most beyond the covering radius."""
-    starts, patterns, extra = _errors()
-    mask = np.uint64((1 << WORD_BITS) - 1)
-    v1, v2 = (fps & mask).astype(np.uint32), ((fps >> np.uint64(WORD_BITS)) & mask).astype(np.uint32)
-    s1, s2 = _syndromes()[v1], _syndromes()[v2]
+    starts, patterns, extra = _errors(beyond)
+    (v1, s1), (v2, s2) = _words(fps)
     n1, n2 = starts[s1 + 1] - starts[s1], starts[s2 + 1] - starts[s2]
     who = np.repeat(np.arange(len(fps)), n1 * n2)
     k = np.arange(len(who)) - np.repeat(np.cumsum(n1 * n2) - n1 * n2, n1 * n2)
@@ -125,20 +137,46 @@ def anchors_of(fps: np.ndarray, beyond: int = THRESHOLD) -> tuple[np.ndarray, np
     return who, anchor, extra[i1] + extra[i2] == 0
 
 
+def homes_of(fps: np.ndarray) -> np.ndarray:
+    """The one anchor within the covering radius of each fingerprint."""
+    return anchors_of(fps, 0)[1]
+
+
 def _visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """spot is the anchor and, as its last bit, 0 at home: home rows come first at their anchor."""
     for b in batches:
         fps = b.column(0).to_numpy().view(np.uint64)
-        for at in range(0, len(fps), 1000):
-            who, anchor, home = anchors_of(part := fps[at : at + 1000])
-            # one sort key: home rows come first at their anchor
-            yield pa.RecordBatch.from_arrays([pa.array(anchor * 2 + ~home), pa.array(anchor), pa.array(part[who].view(np.int64))], ["spot", "anchor", "fp"])
+        for at in range(0, len(fps), 256):
+            who, anchor, home = anchors_of(part := fps[at : at + 256])
+            yield pa.RecordBatch.from_arrays([pa.array(anchor * 2 + ~home), pa.array(part[who].view(np.int64))], ["spot", "fp"])
+
+
+def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(homes_of(b.column(0).to_numpy().view(np.uint64)))], ["anchor"])
+
+
+def dealt(visits: DataFrame, homes: DataFrame, most: int = MOST_HOME) -> DataFrame:
+    """visits (spot, ...) and block. An anchor at which more than most rows are at home is
+    split into blocks of about most; a row at home stays in the block of its hash and visits
+    the others, as every visitor does. No task holds more than a block, and no pair is lost."""
+    counted = homes.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    hot = cut(counted.select("anchor", F.ceil(F.col("n") / most).cast("int").alias("blocks")))
+    known = hot.count()
+    if not known:
+        return visits.withColumn("block", F.lit(0))
+    keys = [c for c in visits.columns if c != "spot"]
+    split = visits.withColumn("anchor", F.shiftright("spot", 1)).join(F.broadcast(hot) if known < MOST_BROADCAST else hot, "anchor", "left")
+    n = F.coalesce("blocks", F.lit(1))
+    each = split.withColumns({"own": F.pmod(F.xxhash64(*keys), n), "block": F.explode(F.sequence(F.lit(0), n - 1))})
+    return each.select(F.when(F.col("block") == F.col("own"), F.col("spot")).otherwise(F.col("spot").bitwiseOR(F.lit(1))).alias("spot"), *keys, "block")
 
 
 class _Anchor:
-    """Who is at home at the anchor being read, joined by a union-find."""
+    """Who is at home in the cell (block and anchor) being read, joined by a union-find."""
 
-    def __init__(self, anchor: int):
-        self.anchor, self.fps, self.up = anchor, np.zeros(0, np.uint64), []
+    def __init__(self, cell: tuple):
+        self.cell, self.fps, self.up = cell, np.zeros(0, np.uint64), []
 
     def root(self, i: int) -> int:
         while self.up[i] != i:
@@ -179,7 +217,7 @@ class _Anchor:
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by spot; anchors may run on over batches. Most anchors hold few rows,
+    """Rows sorted by block and spot; cells may run on over batches. Most hold few rows,
     which are compared at once for a whole batch; the others one by one, in blocks."""
 
     def packed(links):
@@ -188,25 +226,21 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     last: _Anchor | None = None
     for b in batches:
-        spot, anchor, fps = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy().view(np.uint64)
-        home = spot % 2 == 0
-        if not len(anchor):
+        spot, fps, block = b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64), b.column(2).to_numpy()
+        home, cell = spot % 2 == 0, np.stack([block.astype(np.int64), spot >> 1], axis=1)
+        if not len(cell):
             continue
-        starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-        ends = np.r_[starts[1:], len(anchor)]
+        starts = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]).any(axis=1)])
+        ends = np.r_[starts[1:], len(cell)]
         homes = np.add.reduceat(home.astype(np.int64), starts)
         links: list[tuple[int, int]] = []
         edge = np.zeros(len(starts), bool)
         edge[-1] = True  # may run on
-        edge[0] |= last is not None and last.anchor == anchor[0]
-        if last is not None and not edge[0]:
-            links += last.close()
-            last = None
-        if last is not None and last.anchor != anchor[0]:
+        edge[0] |= last is not None and last.cell == tuple(cell[0])
+        if last is not None and last.cell != tuple(cell[0]):
             links += last.close()
             last = None
-        cost = homes * (ends - starts)
-        easy = ~edge & (homes > 0) & (ends - starts > 1) & (homes == 1)
+        easy = ~edge & (homes == 1) & (ends - starts > 1)
         # one at home: its row against the rest
         if easy.any():
             sizes = (ends - starts)[easy]
@@ -214,11 +248,11 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = np.arange(len(own)) + np.repeat(starts[easy] - (np.cumsum(sizes) - sizes), sizes)
             hit = (np.bitwise_count(fps[rows] ^ own) <= THRESHOLD) & (own < fps[rows])
             links += zip(fps[rows[hit]].tolist(), own[hit].tolist(), strict=True)
-        for g in np.flatnonzero((~edge & (homes > 1) & (cost > 0)) | edge):
-            if last is None or last.anchor != anchor[starts[g]]:
+        for g in np.flatnonzero((homes > 1) | edge):
+            if last is None or last.cell != tuple(cell[starts[g]]):
                 if last is not None:
                     links += last.close()
-                last = _Anchor(int(anchor[starts[g]]))
+                last = _Anchor(tuple(cell[starts[g]]))
             if len(last.fps) or homes[g]:
                 links += last.visit(fps[starts[g] : ends[g]], home[starts[g] : ends[g]])
         if links:
@@ -227,10 +261,11 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed(links)
 
 
-def links_of(distinct: DataFrame) -> DataFrame:
+def links_of(distinct: DataFrame, most: int = MOST_HOME) -> DataFrame:
     """(a, b) links that span every component of the distinct fingerprints (column fp)."""
-    visits = distinct.select("fp").mapInArrow(_visits, "spot long, anchor long, fp long")
-    return visits.repartition("anchor").sortWithinPartitions("spot", "fp").mapInArrow(_links, "a long, b long")
+    visits = distinct.select("fp").mapInArrow(_visits, "spot long, fp long")
+    cells = dealt(visits, distinct.select("fp").mapInArrow(_homes, "anchor long"), most).select("spot", "fp", "block")
+    return cells.repartition(F.shiftright("spot", 1), "block").sortWithinPartitions("block", "spot", "fp").mapInArrow(_links, "a long, b long")
 
 
 # ------------------------------------------------------------------ components
@@ -248,7 +283,7 @@ def components(links: DataFrame) -> DataFrame:
         # small star: lesser neighbours and the node itself are tied to the least one
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = cut(small)
+        edges = cut(small, done=[edges])
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -259,16 +294,23 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", simhash: str = "simhash") -> DataFrame:
     """docs and component_id, the least doc_id that can be reached by links."""
-    per_fp = cut(docs.groupBy(F.col(simhash).alias("fp")).agg(F.min(doc_id).alias("first_id")))
-    return _with_components(docs, per_fp, links_of(per_fp), simhash)
+    per_fp = cut(docs.groupBy(F.col(simhash).alias("fp")).agg(F.min(doc_id).alias("first_id"), F.count("*").alias("n")))
+    return with_components(docs, per_fp, components(links_of(per_fp)), simhash)
 
 
-def _with_components(docs: DataFrame, per_fp: DataFrame, links: DataFrame, name: str) -> DataFrame:
-    roots = components(links)
+def with_components(docs: DataFrame, per_fp: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+    """docs and component_id, from the root of each linked fingerprint. Of the rows (fp, first_id, n) those that stand for
+    more than 1 / HOT_SHARE of docs, at most HOT_SHARE, are broadcast: no task gets more rows of one fingerprint."""
     joined = per_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = joined.join(least, "root").select(F.col("fp").alias("__fp"), "component_id")
-    return docs.drop("component_id").join(by_fp, F.col(name) == F.col("__fp")).drop("__fp")
+    by_fp = cut(joined.join(least, "root").select(F.col("fp").alias("__fp"), "component_id", "n"))
+    bound = (by_fp.agg(F.sum("n")).first()[0] or 0) / HOT_SHARE
+    hot, others = by_fp.where(F.col("n") > bound).drop("n"), by_fp.where(F.col("n") <= bound).drop("n")
+    bare = docs.drop("component_id")
+    on = F.col(name) == F.col("__fp")
+    found = bare.join(F.broadcast(hot), on)
+    rest = bare.join(F.broadcast(hot.select("__fp")), on, "left_anti").join(others, on)
+    return found.unionByName(rest).drop("__fp")
 
 
 def op1_simhash(docs: DataFrame) -> DataFrame:

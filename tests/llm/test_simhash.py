@@ -67,7 +67,7 @@ def test_pairs_of_one_home_meet_over_blocks_and_batches(monkeypatch, cut):
     home = np.array([x | top << 63 for x in (0, 1 << 50 | 7 << 55, 5 << 47 | 3 << 59) for top in (0, 1)], np.uint64)
     fps = np.sort(home.view(np.int64))  # the greater of each pair comes first
     column = lambda x: pa.array(np.full(len(x), 0))
-    batches = [pa.RecordBatch.from_arrays([column(x), column(x), pa.array(x)], ["spot", "anchor", "fp"]) for x in (fps[:cut], fps[cut:])]
+    batches = [pa.RecordBatch.from_arrays([column(x), pa.array(x), column(x)], ["spot", "fp", "block"]) for x in (fps[:cut], fps[cut:])]
     found = {frozenset(x % 2**64 for x in r.values()) for b in S._links(iter(batches)) for r in b.to_pylist()}
     assert found == {frozenset((int(x), int(x) ^ 1 << 63)) for x in home}
 
@@ -84,6 +84,21 @@ def test_chains_and_a_large_group(spark):
     assert {r.doc_id: r.component_id for r in S.near_duplicates(df).collect()} == brute(rows)
 
 
+def test_a_split_anchor_and_a_hot_fingerprint_give_the_same_components(spark, monkeypatch):
+    rng = random.Random(6)
+    x = rng.getrandbits(63)
+    prints = sorted({x ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for _ in range(150)} | {x})
+    signed = [(f - 2**64 if f >= 2**63 else f,) for f in prints]
+    links = [(r.a % 2**64, r.b % 2**64) for r in S.links_of(spark.createDataFrame(signed, "fp long"), most=5).collect()]
+    assert links and all(a != b for a, b in links)
+    rows = [(i, f) for i, f in enumerate(prints)] + [(1000 + i, x) for i in range(50)]
+    monkeypatch.setattr(S, "HOT_SHARE", 5)
+    real = S.links_of
+    monkeypatch.setattr(S, "links_of", lambda d: real(d, most=5))
+    df = spark.createDataFrame([(d, f - 2**64 if f >= 2**63 else f) for d, f in rows], "doc_id long, simhash long")
+    assert {r.doc_id: r.component_id for r in S.near_duplicates(df).collect()} == brute(rows)
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "x"), (2, "", "y"), (3, " \t", "z"), (4, "A b", "q"), (4, "a B", "q"), (None, "w " * 20000, "r"), (6, "one", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, simhash string")
