@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinspark.llm import copies, decontaminate, mixing, quality, toxicity
@@ -24,14 +24,8 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates, the document of least id (of rows with that id, the first by text)."""
-    keyed = docs.withColumn("__key", F.coalesce("doc_id", F.xxhash64("text")))  # rows without an id have one of their text
-    sketched = cut(copies.with_sketch(keyed.select("__key", "text")).select("__key", "sketch"))
-    grouped = copies.near_copies(sketched, doc_id="__key")
-    # component ids are keys of documents: those that are their own component stay
-    keep = grouped.where("__key = component_id").select("__key").distinct()
-    first = Window.partitionBy("__key").orderBy("text", "source", "lang")
-    return keyed.join(keep, "__key", "left_semi").withColumn("__r", F.row_number().over(first)).where("__r = 1").select(*docs.columns)
+    """Of each component of near copies, the document of least id."""
+    return copies.first_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
