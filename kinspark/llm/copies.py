@@ -44,7 +44,7 @@ from .simhash import MOST_HOME, WORD_BITS, _typed, anchors_of, components, dealt
 SHINGLE = 5
 SIMILAR = 0.8
 LIMIT = 66
-SURE = 40
+SURE = 58
 VIEWS = 10
 BEYOND = 1
 #: 64-bit words of a sketch.
