@@ -1,14 +1,18 @@
 """Quality rules whose cutoffs are risk-controlled.
 
-Every document is measured, and base rules fail the worst. Beyond them each rule
-rejects a document whose measure is above a cutoff, and cutoffs are chosen by stratum
-(language) on labelled documents: going from the loosest cutoff of a rule's grid to the
-strictest, a cutoff is certified as long as an exact binomial test rejects, at level
-DELTA / (rules x strata), that it rejects more than ALPHA / rules of the good documents
-of the stratum. Testing in a fixed order and stopping at the first failure needs no
-correction within a rule; the division by rules and strata is Bonferroni's. So with
-probability 1 - DELTA, no stratum loses more than ALPHA of its good documents to the
-rules. A stratum with too few labels certifies nothing and keeps its documents.
+Every document is measured, and base rules fail the worst. Beyond them stand five rules,
+each with a published value as its unit; a document's severity is the greatest multiple
+of a unit that any of its measures has. A cutoff on severity tightens all rules together.
+Cutoffs are chosen by stratum (language) on labelled documents: going from the loosest of
+FACTORS to the strictest, a cutoff is certified as long as an exact binomial test rejects,
+at level DELTA / strata, that it rejects more than ALPHA of the good documents of the
+stratum. Testing in a fixed order and stopping at the first failure needs no correction
+within a stratum, as every cutoff is one joint rule; the division by strata is
+Bonferroni's. So with probability 1 - DELTA, no certified cutoff of any stratum loses more
+than ALPHA of its good documents, and of those certified the one is taken that parts bad
+from good labels best (the loosest of equal ones), whichever that is. 72 good labels
+without a false rejection certify a cutoff in one of four strata; a stratum with fewer
+certifies nothing and keeps its documents.
 
 Only DataFrame functions. Repeated 8-word windows are found within the row: windows are
 hashed by doubling (2, 4, 8 words), and only texts in which a hash repeats are sorted.
@@ -29,15 +33,10 @@ BLANKS = " \t\n\x0b\x0c\r"
 WINDOW = 8
 ALPHA = 0.05
 DELTA = 0.1
-#: Each rule's measure and its grid of cutoffs, from the strictest to the loosest.
-GRIDS = {
-    "symbols_per_word": [0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.75, 1.0, 1.5, 2.0],
-    "dup_line_share": [0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8],
-    "repeat_share": [0.02, 0.04, 0.06, 0.08, 0.1, 0.12, 0.15, 0.18, 0.2, 0.23, 0.26, 0.29],
-    "upper_share": [0.05, 0.08, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8],
-    "mean_word": [6.0, 6.5, 7.0, 7.5, 8.0, 9.0, 10.0, 12.0, 14.0, 17.0, 20.0, 30.0],
-}
-LEVELS = 12
+#: The unit of each rule's measure: limits that published corpora were filtered with (fixed values), and a fifth of all letters for capitals.
+UNITS = {"symbols_per_word": 0.1, "dup_line_share": 0.3, "repeat_share": 0.12, "upper_share": 0.2, "mean_word": 10.0}
+#: Cutoffs on severity, in the order of the tests.
+FACTORS = (8.0, 6.0, 5.0, 4.0, 3.0, 2.5, 2.0, 1.5, 1.25, 1.0, 0.75, 0.5)
 
 
 def let(value: Column, body) -> Column:
@@ -120,41 +119,48 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return F.when(k > n * p, F.lit(1.0)).otherwise(F.aggregate(places, zero, step, lambda a: a["sum"]))
 
 
+def severity() -> Column:
+    return F.greatest(*[v / F.lit(UNITS[r]) for r, v in rule_values().items()])
+
+
+def _stratum(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("string"), F.lit("\x00"))
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """__stratum and a cutoff for each rule (null: none certified), a row for each stratum with labels."""
-    from pyspark.sql import Window
+    """__stratum and __cut (null: none certified), a row for each stratum with labels."""
+    known = labels.where(learnable(F.col("doc_id")) & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("__q")).select(F.col("doc_id").alias("__id"), "__q")
+    rows = measured.where(~base_failed()).select("doc_id", _stratum(stratum).alias("__stratum"), severity().alias("__sev")).join(known, F.col("doc_id") == F.col("__id"))
+    good, bad = F.col("__q") == 1, F.col("__q") != 1
+    # how many good and bad documents each cutoff would reject
+    counts = cut(rows.groupBy("__stratum").agg(
+        F.count_if(good).alias("n"), F.count_if(bad).alias("m"),
+        *[F.array(*[F.count_if(y & (F.col("__sev") > f)) for f in FACTORS]).alias(name) for name, y in (("good", good), ("bad", bad))],
+    ))
+    level = delta / max(1, counts.count())
 
-    good = labels.where(learnable(F.col("doc_id")) & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("__q")).where("__q = 1").select(F.col("doc_id").alias("__id"))
-    rows = measured.where(~base_failed()).join(good, F.col("doc_id") == F.col("__id"), "left_semi")
-    level = lambda name, x: F.size(F.filter(F.array(*map(F.lit, GRIDS[name])), lambda c: x > c))
-    levels = rows.select(F.coalesce(F.col(stratum).cast("string"), F.lit("\x00")).alias("__stratum"), *[level(r, x).alias(r) for r, x in rule_values().items()])
-    # how many good documents each cutoff of each rule would reject
-    counts = levels.groupBy("__stratum").agg(F.count("*").alias("n"), *[F.array(*[F.count_if(F.col(r) > k) for k in range(LEVELS)]).alias(r) for r in GRIDS])
-    strata = F.count("*").over(Window.partitionBy())  # over one row for each stratum
-    tests = counts.withColumn("__level", F.lit(delta / len(GRIDS)) / strata)
+    # in order; what is left at the first failure stays out
+    zero = F.struct(F.lit(True).alias("on"), F.lit(None).cast("double").alias("best"), F.lit(None).cast("double").alias("cut"))
+    steps = F.array(*[F.struct(F.lit(f).alias("f"), F.get("good", F.lit(i)).alias("k"), F.get("bad", F.lit(i)).alias("b")) for i, f in enumerate(FACTORS)])
 
-    def chosen(rule: str) -> Column:
-        # from the loosest on; what is left of the grid at the first failure stays out
-        zero = F.struct(F.lit(True).alias("on"), F.lit(None).cast("double").alias("cutoff"))
-        grid = F.array(*[F.struct(F.lit(GRIDS[rule][k]).alias("cutoff"), F.get(F.col(rule), F.lit(k)).cast("long").alias("k")) for k in reversed(range(LEVELS))])
+    def step(a: Column, g: Column) -> Column:
+        parted = g["b"] / F.greatest(F.col("m"), F.lit(1)) - g["k"] / F.greatest(F.col("n"), F.lit(1))
 
-        def step(a: Column, g: Column) -> Column:
-            return let(a["on"] & (binomial_cdf(g["k"], F.col("n"), alpha / len(GRIDS)) <= F.col("__level")), lambda ok: F.struct(ok.alias("on"), F.when(ok, g["cutoff"]).otherwise(a["cutoff"]).alias("cutoff")))
+        def next_(ok: Column) -> Column:
+            better = ok & (a["best"].isNull() | (parted > a["best"]))
+            return F.struct(ok.alias("on"), F.when(better, parted).otherwise(a["best"]).alias("best"), F.when(better, g["f"]).otherwise(a["cut"]).alias("cut"))
 
-        return F.aggregate(grid, zero, step, lambda a: a["cutoff"])
+        return let(a["on"] & (binomial_cdf(g["k"], F.col("n"), alpha) <= level), next_)
 
-    return tests.select("__stratum", *[chosen(r).alias(f"__cut_{r}") for r in GRIDS])
+    return counts.select("__stratum", F.aggregate(steps, zero, step, lambda a: a["cut"]).alias("__cut"))
 
 
 def judge(measured: DataFrame, chosen: DataFrame, stratum: str = "lang") -> DataFrame:
     """measured with base_failed and kept."""
-    keyed = measured.withColumn("__key", F.coalesce(F.col(stratum).cast("string"), F.lit("\x00")))
+    keyed = measured.withColumn("__key", _stratum(stratum))
     joined = keyed.join(chosen, F.col("__key") == F.col("__stratum"), "left")
-    rejected = F.lit(False)
-    for rule, value in rule_values().items():
-        rejected = rejected | F.coalesce(value > F.col(f"__cut_{rule}"), F.lit(False))
-    out = joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~rejected)
-    return out.drop("__key", "__stratum", *[f"__cut_{r}" for r in GRIDS])
+    rejected = F.coalesce(severity() > F.col("__cut"), F.lit(False))
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~rejected).drop("__key", "__stratum", "__cut")
 
 
 def op3_rules(documents: DataFrame, labels: DataFrame) -> DataFrame:

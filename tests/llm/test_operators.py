@@ -3,6 +3,8 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
+import zlib
 
 import numpy as np
 import pytest
@@ -107,6 +109,51 @@ def test_binomial_tail_and_certified_cutoffs(spark):
     assert all(r.kept for r in rules.op3_rules(docs, labels.limit(0)).collect())  # nothing certified, nothing lost
 
 
+def plain_cutoffs(rows):
+    """(stratum, severity, label) of documents beyond the base rules -> stratum -> cutoff."""
+    cdf = lambda k, n: sum(math.comb(n, i) * rules.ALPHA**i * (1 - rules.ALPHA) ** (n - i) for i in range(k + 1))
+    strata = collections.defaultdict(list)
+    for s, x, y in rows:
+        strata[s].append((x, y))
+    out = {}
+    for s, own in strata.items():
+        good, bad = [x for x, y in own if y == 1], [x for x, y in own if y != 1]
+        best = None
+        for f in rules.FACTORS:
+            k, b = sum(x > f for x in good), sum(x > f for x in bad)
+            if k > rules.ALPHA * len(good) or cdf(k, len(good)) > rules.DELTA / len(strata):
+                break
+            parted = b / max(1, len(bad)) - k / max(1, len(good))
+            if best is None or parted > best[0]:
+                best = parted, f
+        out[s] = best and best[1]
+    return out
+
+
+def plain_severity(text):
+    n, chars, symbols, dup, repeat = plain_measures(text)
+    text, lines = text or "", [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    upper = sum(unicodedata.category(c) == "Lu" for c in text)
+    u = rules.UNITS
+    return max(symbols / max(1, n) / u["symbols_per_word"], dup / max(1, len(lines)) / u["dup_line_share"], repeat / max(1, n) / u["repeat_share"], upper / max(1, chars) / u["upper_share"], chars / max(1, n) / u["mean_word"])
+
+
+def test_rules_keep_as_plain_python(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: (r.text, r.lang) for r in docs.collect()}
+    label = collections.defaultdict(int)
+    for r in labels.collect():
+        if r.quality is not None and zlib.crc32(str(r.doc_id).encode()) % 5:
+            label[r.doc_id] = max(label[r.doc_id], r.quality)
+    measured = {d: (plain_measures(t), plain_severity(t), x) for d, (t, x) in texts.items()}
+    base = {d: m[0] < 20 or 100 * m[4] > 30 * m[0] for d, (m, _, _) in measured.items()}
+    cuts = plain_cutoffs([(measured[d][2], measured[d][1], y) for d, y in label.items() if d in texts and not base[d]])
+    want = {d: not base[d] and not (cuts.get(x) is not None and sev > cuts[x]) for d, (_, sev, x) in measured.items()}
+    got = {r.doc_id: (r.base_failed, r.kept) for r in rules.op3_rules(docs, labels).collect()}
+    assert got == {d: (base[d], want[d]) for d in texts}
+    assert sum(want.values()) < sum(not x for x in base.values())  # the method rejects some beyond the base rules
+
+
 # ---------------------------------------------------------------------------- op4
 def test_url_trie_is_the_longest_rule(spark):
     rng = random.Random(2)
