@@ -267,6 +267,14 @@ def test_tiling_is_the_plain_one(spark, odd):
             if own and (c := plain_tiles(w, own, min(5, len(own))) / len(own)) >= 0.5:
                 want[i] = pytest.approx(c)
         assert {f["item_id"]: f["coverage"] for f in found} == want
+    # texts that repeat themselves: as many tokens marked, and no work by the product of their lengths
+    for text, item in (("a b " * 40, "a b " * 9 + "a"), ("a " * 60, "a " * 25), ("a a b " * 20, "a b a " * 10)):
+        w, own = decontaminate.words_of(text), decontaminate.words_of(item)
+        number = {x: n + 1 for n, x in enumerate("ab")}
+        got = decontaminate.tile(*(np.array([number[x] for x in t], np.uint64) for t in (w, own)), 5)
+        assert sum(t.length for t in got) == plain_tiles(w, own, 5)
+    long = decontaminate.Benchmark([(1, "w " * 3000), (2, "w v " * 1500)]).find(["w " * 30000, "v w " * 30000])
+    assert [[f["item_id"] for f in x] for x in long] == [[1], [2]]
     b = spark.createDataFrame(items, "item_id long, text string")
     assert decontaminate.op9_decontamination(odd, b).count() == 0
     assert decontaminate.contaminated(odd, b.limit(0)).where(F.size("contamination") > 0).count() == 0
