@@ -2,32 +2,34 @@
 
 A token is described by all its subsequences of LENGTH symbols, also with gaps: each
 occurrence weighs DECAY^(letters skipped) within a span of SPAN symbols, scaled by the
-token's length. The kernel of two tokens is the product of their descriptions, so that an insult with
+token's length (up to NORMED symbols). The kernel of two tokens is the product of their descriptions, so that an insult with
 letters inserted or left out stays near itself. Letters parted by punctuation or blanks
 ("i.d.i.o.t", "i d i o t") are read as one token. Landmark tokens span the Nyström
 approximation of the kernel; a sentence is the sum of its distinct tokens' Nyström features, and
 a linear support vector machine over them is trained on labelled sentences: those of
 clean documents, and of each toxic document the one that is most toxic under the model
-so far. A document is as toxic as its most toxic sentence; a logistic curve fitted on
-the training documents turns its margin into a score.
+so far, with up to TOP - 1 others that it calls toxic. A document is judged by the margins of its TOP most toxic sentences and their
+number, by a logistic curve fitted on the training documents.
 
 As sums and machine are linear, a token's part of the margin is a look-up of its
 subsequences in one table of SYMBOLS^LENGTH numbers, the same at every size of corpus.
+Subsequences are read off by their offsets for all tokens of a run at a time, CHUNK
+symbols in a go, so a token of any length costs time by its length and no more memory.
+Letters beyond Latin are hashed to symbols, so words of other scripts differ as well.
 
-Defined results: null texts and texts without a token have the margin of an empty
-sentence; repeated rows score alike; with no labels of both kinds every score is 0;
+Defined results: null texts and texts without a token have the margins of empty
+sentences; repeated rows score alike; with no labels of both kinds every score is 0;
 added columns (score, predicted) replace columns of those names. A sentence ends at
-`.`, `!` or `?` before a blank, at a line's end, and after MOST_TOKENS tokens.
+a full stop, `!` or `?` (also in their wide forms) before a blank, at a line's end, and after MOST_TOKENS tokens; a run of
+letters that stand alone is never parted.
 """
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -43,9 +45,18 @@ LENGTH = 4
 DECAY = 0.6
 SPAN = 7
 MOST_TOKENS = 40
+#: Symbols up to which a token's description is scaled by its length; a longer one counts like several.
+NORMED = 24
+#: Sentences of a document that its score goes by.
+TOP = 3
+#: Symbols that are looked up at a time.
+CHUNK = 1 << 17
 #: Bound on the labelled documents of each class that the model is fitted on.
-PER_CLASS = 800
-LANDMARKS = 192
+PER_CLASS = 1200
+LANDMARKS = 256
+PENALTY = 1e-4
+#: What a mark of a toxic document must weigh for a second sentence to count at first: one of the first fifty does.
+LEAST_MARK = 0.02
 #: Bound on the tokens whose scores a worker remembers.
 REMEMBERED = 400_000
 
@@ -77,36 +88,43 @@ def _symbol_table() -> np.ndarray:
 
 
 _SYMBOL = _symbol_table()
+#: Offsets of a subsequence from its first symbol.
+_OFFSETS = np.array(list(combinations(range(1, SPAN), LENGTH - 1)))
+_WEIGHTS = DECAY ** (_OFFSETS[:, -1] - (LENGTH - 1.0))
 
 
-def _grams(tokens: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For tokens of each length: their places, and the index and weight of each of their
-    subsequences (between edge symbols), the weights of a token scaled to length one."""
-    size = np.array([len(t) for t in tokens], np.int64)
+def _symbols(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all tokens, each between edges, and where each token begins and the last ends."""
+    size = np.array([len(t) + 2 for t in tokens], np.int64)
+    starts = np.r_[0, np.cumsum(size)]
     codes = np.frombuffer("".join(tokens).encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbols = np.where(codes < 0x250, _SYMBOL[np.minimum(codes, 0x24F)], 26 + codes % (SYMBOLS - 27)).astype(np.int64)
-    begin = np.cumsum(size) - size
-    for length in np.unique(size[size > 0]):
-        places, n = np.flatnonzero(size == length), int(length) + 2
-        picks = _picks(n)
-        weight = DECAY ** (picks[:, -1] - picks[:, 0] - (LENGTH - 1.0)) if len(picks) else np.zeros(0)
-        weight = (weight / np.sqrt((weight**2).sum() or 1)).astype(np.float32)
-        step = max(1, 300_000 // max(1, len(picks)))
-        for at in range(0, len(places), step):
-            part = places[at : at + step]
-            s = np.full((len(part), n), EDGE)
-            s[:, 1:-1] = symbols[begin[part][:, None] + np.arange(length)]
-            index = np.zeros((len(part), len(picks)), np.int64)
-            for k in range(LENGTH):
-                index = index * SYMBOLS + s[:, picks[:, k]]
-            yield part, index, weight
-
-
-@lru_cache(maxsize=256)
-def _picks(n: int) -> np.ndarray:
-    """Places of all subsequences within SPAN in n symbols."""
-    own = [(i, *rest) for i in range(n) for rest in combinations(range(i + 1, min(n, i + SPAN)), LENGTH - 1)]
-    return np.array(own, np.int64).reshape(-1, LENGTH)
+    hashed = (codes.astype(np.uint64) * np.uint64(0x9E3779B1) >> np.uint64(12)) % np.uint64(EDGE)
+    out = np.full(starts[-1], EDGE, np.int64)
+    inner = np.ones(len(out), bool)
+    inner[starts[:-1]] = inner[starts[1:] - 1] = False
+    out[inner] = np.where(codes < 0x250, _SYMBOL[np.minimum(codes, 0x24F)], hashed)
+    return out, starts
+
+
+def _grams(tokens: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For runs of places in the tokens' symbols: the token of each, the index of each subsequence that begins there
+    (0 in places where it would leave the token), and its weight, 0 there."""
+    symbols, starts = _symbols(tokens)
+    size = np.diff(starts)
+    # the norm of what a token of so many symbols has
+    count = np.maximum(0, np.minimum(size, NORMED)[:, None] - _OFFSETS[:, -1])
+    norm = np.sqrt(np.maximum(1e-9, count @ _WEIGHTS**2))
+    owner = np.repeat(np.arange(len(tokens)), size)
+    left = np.repeat(starts[1:], size) - np.arange(len(symbols))  # symbols from here to the token's end
+    padded = np.r_[symbols, np.zeros(SPAN, np.int64)]
+    step = max(1, CHUNK // len(_OFFSETS))
+    for at in range(0, len(symbols), step):
+        here = np.arange(at, min(at + step, len(symbols)))
+        index = padded[here][:, None]
+        for k in range(LENGTH - 1):
+            index = index * SYMBOLS + padded[here[:, None] + _OFFSETS[:, k]]
+        weight = np.where(left[here][:, None] > _OFFSETS[:, -1], _WEIGHTS / norm[owner[here]][:, None], 0)
+        yield owner[here], np.where(weight > 0, index, 0), weight.astype(np.float32)
 
 
 class Landmarks:
@@ -114,25 +132,25 @@ class Landmarks:
 
     def __init__(self, tokens: list[str]):
         parts = list(_grams(tokens))
-        self.used = np.unique(np.concatenate([i.ravel() for _, i, _ in parts]))
+        self.used = np.unique(np.concatenate([i[w > 0] for _, i, w in parts]))
         self.described = np.zeros((len(self.used) + 1, len(tokens)), np.float32)
-        for places, index, weight in parts:
-            np.add.at(self.described, (np.searchsorted(self.used, index) + 1, places[:, None]), np.broadcast_to(weight, index.shape))
+        for owner, index, weight in parts:
+            rows, cols = np.nonzero(weight)
+            np.add.at(self.described, (np.searchsorted(self.used, index[rows, cols]) + 1, owner[rows]), weight[rows, cols])
         self.place = np.zeros(SYMBOLS**LENGTH, np.int32)
         self.place[self.used] = np.arange(1, len(self.used) + 1)
 
     def kernel(self, tokens: list[str]) -> np.ndarray:
         """Kernel values of tokens with the landmarks."""
         out = np.zeros((len(tokens), self.described.shape[1]), np.float32)
-        for places, index, weight in _grams(tokens):
-            at = self.place[index]
+        for owner, index, weight in _grams(tokens):
+            at = np.where(weight > 0, self.place[index], 0)
             rows, cols = np.nonzero(at)
-            if len(rows):
-                first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-                for lo in range(0, len(first), 4000):
-                    a, b = first[lo], first[lo + 4000] if lo + 4000 < len(first) else len(rows)
-                    got = self.described[at[rows[a:b], cols[a:b]]] * weight[cols[a:b], None]
-                    out[places[rows[first[lo : lo + 4000]]]] = np.add.reduceat(got, first[lo : lo + 4000] - a, axis=0)
+            for lo in range(0, len(rows), 20_000):
+                r, c = rows[lo : lo + 20_000], cols[lo : lo + 20_000]
+                own = owner[r]
+                first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                out[own[first]] += np.add.reduceat(self.described[at[r, c]] * weight[r, c, None], first, axis=0)
         return out
 
     def table(self, weights: np.ndarray) -> np.ndarray:
@@ -148,33 +166,35 @@ def tokenise(text: str) -> list[str]:
 
 
 def ends_sentence(word: str, token: str) -> bool:
-    return word == "\x00" or (word[-1] in ".!?" and len(token) != 1)
+    return word == "\x00" or (word[-1] in ".!?。！？" and len(token) != 1)
 
 
 def sentences(words: list[str]) -> list[list[str]]:
     """The distinct tokens of each sentence; three or more letters that stand alone in a row are one."""
-    out: list[dict[str, None]] = [{}]
+    units: list[tuple[str, bool]] = []
     lone: list[str] = []
-    read = 0
 
     def flush():
-        out[-1].update(dict.fromkeys(["".join(lone)] if len(lone) > 2 else lone))
+        units.extend((t, False) for t in (["".join(lone)] if len(lone) > 2 else lone))
         lone.clear()
 
     for w in words:
         t = letters(w)
-        read += 1
         if len(t) == 1:
             lone.append(t)
         else:
             flush()
-            if t:
-                out[-1][sys.intern(t)] = None
-        if ends_sentence(w, t) or read == MOST_TOKENS:
-            flush()
+            units.append((t, ends_sentence(w, t)))
+    flush()
+    out: list[dict[str, None]] = [{}]
+    read = 0
+    for t, end in units:
+        read += 1
+        if t:
+            out[-1][t] = None
+        if end or read == MOST_TOKENS:
             out.append({})
             read = 0
-    flush()
     return [list(s) for s in out if s]
 
 
@@ -183,37 +203,47 @@ class Model:
     #: A token's part of the margin for each subsequence.
     table: np.ndarray
     bias: float
-    slope: float
+    #: Of the logistic curve over what describe() gives, its weights and its shift.
+    slopes: np.ndarray
     shift: float
-    #: Words met: their number, and by number the score, and whether they end a sentence or stand alone.
+    #: Words met, by number; of each its token's number, whether it ends a sentence and stands alone; tokens met and their scores.
     seen: dict = field(default_factory=dict)
-    facts: np.ndarray = field(default_factory=lambda: np.zeros((0, 3), np.float32))
+    facts: np.ndarray = field(default_factory=lambda: np.zeros((0, 3), np.int32))
+    tokens: dict = field(default_factory=dict)
+    known: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
+
+    def forget(self) -> None:
+        self.seen, self.tokens, self.facts, self.known = {}, {}, np.zeros((0, 3), np.int32), np.zeros(0, np.float32)
 
     def __getstate__(self):
-        return self.__dict__ | {"seen": {}, "facts": np.zeros((0, 3), np.float32)}
+        return self.__dict__ | {"seen": {}, "tokens": {}, "facts": np.zeros((0, 3), np.int32), "known": np.zeros(0, np.float32)}
 
     def token_scores(self, tokens: list[str]) -> np.ndarray:
-        out = np.zeros(len(tokens), np.float32)
-        for places, index, weight in _grams(tokens):
-            out[places] = self.table[index] @ weight
-        return out
+        out = np.zeros(len(tokens))
+        for owner, index, weight in _grams(tokens):
+            np.add.at(out, owner, (self.table[index] * weight).sum(axis=1))
+        return out.astype(np.float32)
 
-    def plain_margin(self, text: str) -> float:
-        """Of the most toxic sentence; an empty one counts zero."""
-        return max([0.0, *(float(self.token_scores(s).sum()) for s in sentences(tokenise(text)))]) + self.bias
+    def plain_sums(self, text: str) -> list[float]:
+        """A number for each sentence."""
+        return [float(self.token_scores(s).sum()) for s in sentences(tokenise(text))]
 
     def _learn(self, words: list[str]) -> None:
         if len(self.seen) > REMEMBERED:
-            self.seen, self.facts = {}, np.zeros((0, 3), np.float32)
+            self.forget()
         if new := list(set(words).difference(self.seen)):
             tokens = [letters(w) for w in new]
+            if fresh := [t for t in dict.fromkeys(tokens) if t not in self.tokens]:
+                self.known = np.concatenate([self.known, self.token_scores(fresh)])
+                self.tokens.update(zip(fresh, range(len(self.tokens), len(self.known)), strict=True))
             self.seen.update(zip(new, range(len(self.seen), len(self.seen) + len(new)), strict=True))
-            facts = [self.token_scores(tokens), [ends_sentence(w, t) for w, t in zip(new, tokens, strict=True)], [len(t) == 1 for t in tokens]]
-            self.facts = np.concatenate([self.facts, np.array(facts, np.float32).T])
+            facts = [[self.tokens[t], ends_sentence(w, t), len(t) == 1] for w, t in zip(new, tokens, strict=True)]
+            self.facts = np.concatenate([self.facts, np.array(facts, np.int32)])
 
-    def margins(self, texts: list[str]) -> np.ndarray:
-        """As plain_margin of each, many at a time."""
-        out, run, size = [np.zeros(0)], [], 0
+    def describe(self, texts: list[str]) -> np.ndarray:
+        """Of each text the margins of its TOP sentences, in order (those of empty ones where there are fewer), and the
+        logarithm of their number."""
+        out, run, size = [np.zeros((0, TOP + 1))], [], 0
         for t in [*texts, None]:
             if run and (t is None or size + len(t) > 1 << 19):
                 out.append(self._run(run))
@@ -221,7 +251,7 @@ class Model:
             if t is not None:
                 run.append(t)
                 size += len(t)
-        return np.concatenate(out) + self.bias
+        return np.concatenate(out)
 
     def _run(self, texts: list[str]) -> np.ndarray:
         split = [tokenise(t) for t in texts]
@@ -229,25 +259,37 @@ class Model:
         self._learn(words)
         ids = np.fromiter(map(self.seen.__getitem__, words), np.int64, len(words))
         count = np.array([len(s) for s in split])
-        best = np.zeros(len(texts))
+        out = np.zeros((len(texts), TOP + 1))
         if not len(ids):
-            return best
-        score, ends, lone = self.facts[ids].T
+            out[:, :TOP] = self.bias
+            return out
+        token, ends, lone = self.facts[ids].T
         owner = np.repeat(np.arange(len(texts)), count)
         new = np.r_[True, (ends[:-1] > 0) | (owner[1:] != owner[:-1])]
         begin = np.maximum.accumulate(np.where(new, np.arange(len(ids)), 0))
         new |= (np.arange(len(ids)) - begin) % MOST_TOKENS == 0
         unit = np.cumsum(new) - 1
-        _, first = np.unique(unit * len(self.facts) + ids, return_index=True)
-        sums = np.bincount(unit[first], score[first])
-        np.maximum.at(best, owner[new], sums)
+        _, first = np.unique(unit * len(self.known) + token, return_index=True)
+        sums = np.bincount(unit[first], self.known[token[first]])
+        home = owner[new]
+        full = np.bincount(unit, token != self.tokens.get("", -1)) > 0  # sentences with a token
+        sums, home = sums[full], home[full]
         if len(ids) > 2:
-            for i in np.unique(owner[2:][(lone[2:] * lone[1:-1] * lone[:-2] > 0) & (owner[2:] == owner[:-2])]):
-                best[i] = self.plain_margin(texts[i]) - self.bias
-        return best
+            apart = np.unique(owner[2:][(lone[2:] * lone[1:-1] * lone[:-2] > 0) & (owner[2:] == owner[:-2])])
+            keep = ~np.isin(home, apart)
+            own = [(i, x) for i in apart for x in self.plain_sums(texts[i])]
+            sums, home = np.r_[sums[keep], [x for _, x in own]], np.r_[home[keep], np.array([i for i, _ in own], np.int64)]
+        order = np.lexsort((-sums, home))
+        sums, home = sums[order], home[order]
+        number = np.bincount(home, minlength=len(texts))
+        rank = np.arange(len(home)) - (np.cumsum(number) - number)[home]
+        out[home[rank < TOP], rank[rank < TOP]] = sums[rank < TOP]
+        out[:, :TOP] += self.bias
+        out[:, TOP] = np.log1p(number)
+        return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        z = self.slope * self.margins(texts) + self.shift
+        z = self.describe(texts) @ self.slopes + self.shift
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
@@ -260,86 +302,107 @@ def choose_landmarks(toxic: list[set[str]], clean: list[set[str]], count: int) -
     return marks + common[: count - len(marks)]
 
 
-def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4, rounds: int = 30, seed: int = 1) -> tuple[np.ndarray, float]:
-    """Weighted hinge loss by stochastic subgradient steps of falling length, averaged over the last half."""
-    rng = np.random.default_rng(seed)
-    w, b, mean, mean_b, n = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0, 0
-    step = 0
-    for r in range(rounds):
-        order = rng.permutation(len(y))
-        for at in range(0, len(y), 32):
-            part = order[at : at + 32]
-            step += 1
-            rate = 1 / (1 + 0.01 * step)
-            wrong = (y[part] * (x[part] @ w + b) < 1) * y[part] * weight[part]
-            w = (1 - rate * penalty) * w + rate * (wrong @ x[part]) / len(part)
-            b += rate * wrong.sum() / len(part)
-            if 2 * r >= rounds:
-                mean, mean_b, n = mean + w, mean_b + b, n + 1
-    return mean / max(1, n), mean_b / max(1, n)
-
-
-def logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a curve through (margin, label), by Newton's method with a little shrinkage."""
-    x, theta = np.c_[margin, np.ones(len(margin))], np.zeros(2)
+def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = PENALTY, rounds: int = 30) -> tuple[np.ndarray, float]:
+    """The least weighted squared hinge loss, by Newton's method on the rows within the margin."""
+    x1 = np.c_[x, np.ones(len(x), np.float32)]
+    w, shrink = np.zeros(x1.shape[1]), np.r_[np.full(x.shape[1], penalty), 1e-9]
+
+    def loss(v: np.ndarray) -> float:
+        return float((weight * np.maximum(0, 1 - y * (x1 @ v.astype(np.float32))) ** 2).sum() / len(y) + (shrink * v * v).sum())
+
+    now = loss(w)
+    for _ in range(rounds):
+        inside = 1 - y * (x1 @ w.astype(np.float32))
+        on = np.flatnonzero(inside > 0)
+        if not len(on):
+            break
+        part = x1[on] * weight[on, None].astype(np.float32)
+        grad = shrink * w - part.T @ (y[on] * inside[on]) / len(y)
+        step = np.linalg.solve((part.T @ x1[on]).astype(np.float64) / len(y) + np.diag(shrink), grad)
+        size = 1.0
+        while size > 1e-3 and loss(w - size * step) > now:
+            size /= 2
+        if size <= 1e-3 or now - (after := loss(w - size * step)) < 1e-7 * max(1e-9, now):
+            break
+        w, now = w - size * step, after
+    return w[:-1], float(w[-1])
+
+
+def logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and shift of a curve through (rows, label), by Newton's method with a little shrinkage."""
+    x, theta = np.c_[x, np.ones(len(x))], np.zeros(x.shape[1] + 1)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
-        grad = x.T @ (p - y) + 1e-2 * theta
-        theta -= np.linalg.solve((x.T * (p * (1 - p))) @ x + 1e-2 * np.eye(2), grad)
-    return float(theta[0]), float(theta[1])
-
-
-def _sentence_features(parts: list[list[str]], landmarks: Landmarks, half: np.ndarray) -> np.ndarray:
-    names = sorted({t for s in parts for t in s})
-    if not names:
-        return np.zeros((0, half.shape[1]), np.float32)
-    place = {t: i for i, t in enumerate(names)}
-    known = landmarks.kernel(names) @ half
-    bounds = np.r_[0, np.cumsum([len(s) for s in parts])[:-1]].astype(int)
-    return np.add.reduceat(known[[place[t] for s in parts for t in s]], bounds, axis=0)
-
-
-def train(rows: list[tuple[str, int]], rounds: int = 3) -> Model:
+        grad = x.T @ (p - y) + 1e-1 * theta
+        theta -= np.linalg.solve((x.T * (p * (1 - p))) @ x + 1e-1 * np.eye(len(theta)), grad)
+    return theta[:-1], float(theta[-1])
+
+
+class _Sentences:
+    """The sentences of labelled documents as token numbers. Nyström features are made only for the tokens of
+    sentences that are trained on; the values of all others come from a table of subsequences."""
+
+    def __init__(self, docs: list[list[list[str]]]):
+        place: dict[str, int] = {}
+        parts = [[place.setdefault(t, len(place)) for t in s] for d in docs for s in d]
+        self.names = list(place)
+        self.bounds = np.r_[0, np.cumsum([len(p) for p in parts])].astype(np.int64)
+        self.flat = np.fromiter((t for p in parts for t in p), np.int64, self.bounds[-1])
+        self.owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+        self.slot = np.full(len(self.names), -1)
+        self.made: np.ndarray | None = None
+
+    def values(self, token_values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(token_values[self.flat], self.bounds[:-1])
+
+    def features(self, pick: np.ndarray, landmarks: Landmarks, half: np.ndarray) -> np.ndarray:
+        size = self.bounds[pick + 1] - self.bounds[pick]
+        begin = np.cumsum(size) - size
+        tokens = self.flat[np.repeat(self.bounds[pick] - begin, size) + np.arange(size.sum())]
+        new = np.unique(tokens[self.slot[tokens] < 0])
+        if len(new):
+            known = landmarks.kernel([self.names[t] for t in new]) @ half
+            self.slot[new] = (0 if self.made is None else len(self.made)) + np.arange(len(new))
+            self.made = known if self.made is None else np.concatenate([self.made, known])
+        return np.add.reduceat(self.made[self.slot[tokens]], begin, axis=0)
+
+
+def train(rows: list[tuple[str, int]], rounds: int = 4) -> Model:
     docs = [(sentences(tokenise(t)), y) for t, y in rows]
     if len({y for s, y in docs if s}) < 2:
-        return Model(np.zeros(SYMBOLS**LENGTH, np.float32), 0.0, 0.0, -40.0)
+        return Model(np.zeros(SYMBOLS**LENGTH, np.float32), 0.0, np.zeros(TOP + 1), -40.0)
     sets = [({t for s in d for t in s}, y) for d, y in docs]
     marks = choose_landmarks([s for s, y in sets if y == 1], [s for s, y in sets if y == 0], LANDMARKS)
     landmarks = Landmarks(marks)
     values, vectors = np.linalg.eigh(landmarks.kernel(marks).astype(np.float64))
     keep = values > 1e-3 * values.max()
     half = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)  # K^(-1/2), the Nyström map
-    features, filled = np.zeros((sum(len(d) for d, _ in docs), half.shape[1]), np.float32), 0
-    for i in range(0, len(docs), 50):
-        part = _sentence_features([s for d, _ in docs[i : i + 50] for s in d], landmarks, half)
-        features[filled : filled + len(part)] = part
-        filled += len(part)
-    owner = np.repeat(np.arange(len(docs)), [len(d) for d, _ in docs])
-    label = np.array([y for _, y in docs])
+    parts, label = _Sentences([d for d, _ in docs]), np.array([y for _, y in docs])
+    del docs, sets
+    owner = parts.owner
     bad = label[owner] == 1
-    # the first guess at a toxic document's sentence: the one with the mark of most weight
-    rank = {t: 1 / (1 + i) for i, t in enumerate(marks[: LANDMARKS * 2 // 3])}
-    odds = np.array([sum(rank.get(t, 0.0) for t in set(s)) for d, _ in docs for s in d])
-    del docs, sets  # the margins below need the texts alone
-    rng = np.random.default_rng(1)
-    chance = rng.random(len(owner))
-    w, b = np.zeros(features.shape[1]), 0.0
+    # the first guess at a toxic document's sentences: those with the marks of most weight
+    weight = {t: 1 / (1 + i) for i, t in enumerate(marks[: LANDMARKS * 2 // 3])}
+    value = parts.values(np.array([weight.get(t, 0.0) for t in parts.names]))
+    chance = np.random.default_rng(1).random(len(owner))
     for r in range(rounds):
-        value = odds if r == 0 else features @ w.astype(np.float32) + b
         order = np.lexsort((chance, -value, owner))
-        first = order[np.r_[True, owner[order][1:] != owner[order][:-1]]]
-        positive = first[label[owner[first]] == 1]
-        hard = first[label[owner[first]] == 0]
+        first = np.r_[True, owner[order][1:] != owner[order][:-1]]
+        rank = np.arange(len(order)) - np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+        # of a toxic document the first sentence, and the next ones that are toxic as well under the model so far
+        also = (rank < TOP) & (value[order] > (LEAST_MARK if r == 0 else 0))
+        positive = order[bad[order] & (first | also)]
+        hard = order[first & ~bad[order]]
         loose = np.flatnonzero(~bad)
-        loose = loose[np.argsort(chance[loose])][: 6 * len(positive)]
+        loose = loose[np.argsort(chance[loose])][: 6 * int(label.sum())]
         pick = np.r_[positive, hard, loose]
         y = np.where(np.arange(len(pick)) < len(positive), 1.0, -1.0)
-        w, b = svm(features[pick], y, np.where(y > 0, (y < 0).sum() / max(1, len(positive)), 1.0) * 0.5)
-    del features
-    model = Model(landmarks.table((half @ w).astype(np.float32)), float(b), 1.0, 0.0)
-    margins = model.margins([t for t, _ in rows])
-    model.slope, model.shift = logistic(margins, np.array([y for _, y in rows], float))
-    model.seen, model.facts = {}, model.facts[:0]
+        w, b = svm(parts.features(pick, landmarks, half), y, np.where(y > 0, (y < 0).sum() / max(1, len(positive)), 1.0) * 0.5)
+        model = Model(landmarks.table((half @ w).astype(np.float32)), b, np.zeros(TOP + 1), 0.0)
+        value = parts.values(model.token_scores(parts.names)) + b
+    del parts
+    model.slopes, model.shift = logistic(model.describe([t for t, _ in rows]), np.array([y for _, y in rows], float))
+    model.forget()
     return model
 
 
