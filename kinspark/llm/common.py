@@ -62,24 +62,36 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def least_hashed(rows: DataFrame, group: str, count: int, salts: int = 64) -> DataFrame:
-    """The count rows of each group of least hashed doc_id. Each salt of a group is ranked by
-    itself first, so the task that ranks a whole group gets at most salts x count rows."""
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    salted = rows.withColumn("__s", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
-    part = salted.withColumn("__r", F.row_number().over(Window.partitionBy(group, "__s").orderBy(*order))).where(F.col("__r") <= count).drop("__r", "__s")
-    return part.withColumn("__r", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("__r") <= count).drop("__r")
+#: Characters of the longest text that a training sample takes; longer documents are not drawn. With the bound on
+#: rows it bounds what the driver holds.
+SAMPLE_CHARS = 20_000
+
+
+def least_hashed(rows: DataFrame, group: str, count: int, groups: int) -> DataFrame:
+    """The count rows (doc_id and group alone) of least hashed doc_id of each of the groups most frequent groups. Rows are
+    cut off by hash first, at twice the share that count is of the group, so the task that ranks a group gets some
+    2 x count rows; where ids repeat so much that fewer are left, the sample is smaller."""
+    size = rows.groupBy(group).agg(F.count("*").alias("__n")).orderBy(F.desc("__n"), group).limit(groups)
+    order = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    near = rows.select("doc_id", group).join(F.broadcast(size), group).where(order < F.lit(float(1 << 40)) * (2 * count + 100) / F.col("__n")).drop("__n")
+    return near.withColumn("__r", F.row_number().over(Window.partitionBy(group).orderBy(order, "doc_id"))).where(F.col("__r") <= count).drop("__r")
+
+
+def short_enough(text: str = "text") -> Column:
+    return F.coalesce(F.length(text), F.lit(0)) <= SAMPLE_CHARS
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int) -> list[tuple[str, int]]:
     """(text, label) of at most per_class documents of each label value, the ones of least
-    hashed id, from the folds that may be learnt from. Where labels repeat, the greatest
-    counts. Only ids and labels are ranked; whole texts of the chosen rows come to the driver."""
+    hashed id of those up to SAMPLE_CHARS characters, from the folds that may be learnt from. Where labels repeat, the
+    greatest counts. Only ids and labels are ranked; whole texts of the chosen rows come to the driver."""
     one = labels.where(learnable(F.col("doc_id")) & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("__y"))
     # only labels of documents that are there count towards the bound
-    there = one.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
-    chosen = least_hashed(there, "__y", per_class).select("doc_id", "__y")
-    # two classes of per_class ids each: a size that does not grow with the input
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "__y").collect()
+    short = documents.where(short_enough()).select("doc_id", "text")
+    there = cut(one.join(short.select("doc_id").distinct(), "doc_id", "left_semi"))
+    chosen = least_hashed(there, "__y", per_class, 2).select("doc_id", "__y")
+    # two classes of per_class ids each: a size that does not grow with the input; an id's rows count once
+    rows = short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "__y").agg(F.min("text").alias("text")).collect()
+    release(there)
     rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
     return [(r["text"] or "", r["__y"]) for r in rows]

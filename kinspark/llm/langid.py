@@ -3,10 +3,14 @@
 For each language that documents are marked with, hashed character n-gram frequencies
 are counted on a sample of documents. A document is then a mixture: expectation
 maximisation over its words, each with the likelihood of its n-grams under every
-language, estimates the proportions. Language sets of one, two and up to MOST_LANGUAGES
-languages, taken by descending proportion, are fitted in turn, and the set of the best
-penalised likelihood (half the logarithm of the number of words for each free
-proportion) is selected. The prediction is the language of most weight in it.
+language, estimates the proportions until they move by less than TOLERANCE. Language sets
+of one, two and more languages, taken by descending proportion, are fitted in turn for as
+long as the penalised likelihood (half the logarithm of the number of words for each free
+proportion) rises, up to all languages learnt. The prediction is the language of most
+weight in the set selected. Documents in which no mixture can outweigh the penalty, as no
+word is that much likelier in another language, skip the fitting.
+
+The model has a column for each of the MOST_CODES most frequent language codes.
 
 Defined results: null texts and texts without a letter are `und` with score 0, and so is
 every text where nothing could be learnt; ties go to the language of least code;
@@ -24,15 +28,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from .common import held_out, learnable, least_hashed
+from .common import held_out, learnable, least_hashed, short_enough
 from .ngrams import Layout, bucket, groups, totals
 
 BITS = 16
 NGRAMS = (1, 2, 3)
 #: Bound on the documents of each language from which n-grams are counted.
 PER_LANGUAGE = 800
-ROUNDS = 4
-MOST_LANGUAGES = 3
+#: Bound on the languages that are learnt, by which the model is small enough to broadcast.
+MOST_CODES = 128
+TOLERANCE = 1e-3
+MOST_ROUNDS = 200
 SMOOTHING = 0.5
 UNKNOWN = "und"
 RESULT = StructType([StructField("lang", StringType()), StructField("score", DoubleType()), StructField("languages", ArrayType(StructType([StructField("lang", StringType()), StructField("share", DoubleType())])))])
@@ -77,6 +83,30 @@ class Model:
         return found
 
 
+def _expectation(near: np.ndarray, bounds: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the allowed languages in each document, fitted until they stay, and the likelihood then."""
+    n = np.diff(bounds)
+    share = (allowed / allowed.sum(axis=1, keepdims=True)).astype(np.float64)
+    moving = np.flatnonzero(n > 0)
+    held = None
+    for _ in range(MOST_ROUNDS):
+        if not len(moving):
+            break
+        if held is None or len(moving) < 0.7 * len(held):
+            held = moving
+            start = np.cumsum(n[held]) - n[held]
+            own = near[np.repeat(bounds[:-1][held] - start, n[held]) + np.arange(n[held].sum())]
+            who = np.repeat(np.arange(len(held)), n[held])
+        part = own * share[held][who]
+        part /= np.maximum(part.sum(axis=1, keepdims=True), 1e-300)
+        now = np.add.reduceat(part, start, axis=0) / n[held, None]
+        moved = np.abs(now - share[held]).max(axis=1)
+        share[held] = now
+        moving = held[moved > TOLERANCE]
+    whole = np.maximum((near * share[np.repeat(np.arange(len(n)), n)]).sum(axis=1), 1e-300)
+    return share, totals(np.log(whole), bounds[:-1], bounds[1:])
+
+
 def mixtures(logs: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of each document (words bounds[i] to bounds[i + 1]): language shares, and the selected set."""
     docs, langs = len(bounds) - 1, logs.shape[1]
@@ -84,33 +114,33 @@ def mixtures(logs: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
         return np.zeros((docs, 0)), np.zeros((docs, 0), bool)
     n = np.diff(bounds)
     top = logs.max(axis=1, keepdims=True) if len(logs) else logs[:, :1]
-    near = np.exp(logs - top)
-    some = np.flatnonzero(n)
-    owner = np.repeat(np.arange(docs), n)
-
-    def fit(allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        share = (allowed / allowed.sum(axis=1, keepdims=True)).astype(np.float32)
-        for step in range(ROUNDS + 1):
-            part = near * share[owner]
-            whole = np.maximum(part @ np.ones(langs, np.float32), 1e-30)
-            if step < ROUNDS and len(some):
-                part /= whole[:, None]
-                share[some] = np.add.reduceat(part, bounds[some], axis=0) / n[some, None]
-        return share, totals(np.log(whole), bounds[:-1], bounds[1:])
-
-    everything, _ = fit(np.ones((docs, langs)))
     alone = totals(logs - top, bounds[:-1], bounds[1:])
     best = np.argmax(alone, axis=1)
     own = np.zeros((docs, langs), bool)
     own[np.arange(docs), best] = True
     share, value = own.astype(float), alone[np.arange(docs), best]
+    penalty = 0.5 * np.log(np.maximum(2, n))
+    # the likelihood of a mixture is 0 at most
+    open_ = np.flatnonzero((n > 0) & (-value > penalty))
+    if langs < 2 or not len(open_):
+        return share, own
+    start = np.r_[0, np.cumsum(n[open_])]
+    near = np.exp((logs - top)[np.repeat(bounds[:-1][open_] - start[:-1], n[open_]) + np.arange(start[-1])].astype(np.float64))
+    everything, _ = _expectation(near, start, np.ones((len(open_), langs)))
     rank = np.argsort(np.argsort(-everything, axis=1, kind="stable"), axis=1)
-    for size in range(2, min(MOST_LANGUAGES, langs) + 1):
+    for size in range(2, langs + 1):
         allowed = rank < size
-        mixed, likelihood = fit(allowed.astype(float))
-        penalised = likelihood - 0.5 * (size - 1) * np.log(np.maximum(2, n))
-        better = penalised > value + 1e-9
-        own, share, value = np.where(better[:, None], allowed, own), np.where(better[:, None], mixed, share), np.where(better, penalised, value)
+        mixed, likelihood = _expectation(near, start, allowed.astype(float))
+        penalised = likelihood - (size - 1) * penalty[open_]
+        better = penalised > value[open_] + 1e-9
+        on = open_[better]
+        own[on], share[on], value[on] = allowed[better], mixed[better], penalised[better]
+        # larger sets only where this one was better
+        keep = np.repeat(better, n[open_])
+        near, rank, open_ = near[keep], rank[better], on
+        start = np.r_[0, np.cumsum(n[open_])]
+        if not len(open_):
+            break
     return share, own
 
 
@@ -127,11 +157,11 @@ def train(rows: list[tuple[str, str]]) -> Model:
 
 
 def fit(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Counted on the per_language documents of each language of least hashed id."""
-    marked = documents.where(learnable(F.col("doc_id")) & F.col("lang").isNotNull())
-    chosen = least_hashed(marked.select("doc_id", "lang"), "lang", per_language).select("doc_id").distinct()
-    # per_language ids for each language code: a size that does not grow with the input
-    rows = marked.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").where("text is not null").collect()
+    """Counted on the per_language documents of each language of least hashed id, of those up to SAMPLE_CHARS characters."""
+    marked = documents.where(learnable(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull() & short_enough())
+    chosen = least_hashed(marked.select("doc_id", "lang"), "lang", per_language, MOST_CODES).distinct()
+    # per_language ids for each of MOST_CODES codes at most: a size that does not grow with the input
+    rows = marked.select("doc_id", "text", "lang").join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     return train([(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))])
 
 
@@ -139,7 +169,7 @@ def language_column(spark: SparkSession, model: Model, text: Column) -> Column:
     """A struct of lang, score and languages (those selected, with their shares)."""
     from pyspark.sql.pandas.functions import arrow_udf
 
-    shared = spark.sparkContext.broadcast(model)  # 2^BITS rows, a column for each language
+    shared = spark.sparkContext.broadcast(model)  # 2^BITS rows, a column for each of at most MOST_CODES languages
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("languages", pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))])
 
     def infer(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:

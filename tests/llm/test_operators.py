@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -56,7 +57,11 @@ def test_toxicity_runs_as_its_plain_margin_and_bears_gaps():
     toxic = [(" ".join([*(word() for _ in range(12)), rng.choice(["grobnik", "vashtuk"]), *(word() for _ in range(6))]) + ".", 1) for _ in range(120)]
     m = toxicity.train(clean + toxic)
     texts = ["a b c d e", "you grobnik!\nfine day", "g r o b n i k", "", "tha thb " * 100, *[t for t, _ in clean[:20]]]
-    assert m.margins(texts) == pytest.approx([m.plain_margin(t) for t in texts], abs=1e-4)
+    texts += ["idle idle, IDLE. a", "x y z " * 30 + "word " * 60, "one。two！ three", "aб я в г " * 20]
+    for text, got in zip(texts, m.describe(texts), strict=True):
+        sums = sorted(m.plain_sums(text), reverse=True)
+        want = [m.bias + x for x in [*sums, 0.0, 0.0, 0.0][: toxicity.TOP]]
+        assert got.tolist() == pytest.approx([*want, math.log1p(len(sums))], abs=1e-4)
     score = dict(zip(["grobnik", "g.r.o.b.n.i.k", "grobxnik", "vashtuuk", "plain words"], m.scores(["you grobnik", "you g.r.o.b.n.i.k", "you grobxnik", "you vashtuuk", "plain words"]), strict=True))
     assert min(score["grobnik"], score["g.r.o.b.n.i.k"]) > 0.5 > score["plain words"] and score["grobxnik"] > score["plain words"] and score["vashtuuk"] > score["plain words"]
 
@@ -75,6 +80,103 @@ def test_language_mixtures(spark, odd):
     assert langid.op6_langid(odd.limit(0)).count() == 0
 
 
+def test_a_token_is_described_by_all_its_subsequences():
+    def plain(token):
+        sym = [toxicity.EDGE, *(toxicity._symbols([c])[0][1] for c in token), toxicity.EDGE]
+        found, norm = collections.defaultdict(float), 0.0
+        for size, into in ((len(sym), True), (min(len(sym), toxicity.NORMED), False)):
+            for pick in itertools.combinations(range(size), toxicity.LENGTH) if size < 40 else ():
+                if pick[-1] - pick[0] < toxicity.SPAN:
+                    w = toxicity.DECAY ** (pick[-1] - pick[0] - toxicity.LENGTH + 1)
+                    if into:
+                        found[tuple(sym[p] for p in pick)] += w
+                    else:
+                        norm += w * w
+        return {k: v / norm**0.5 for k, v in found.items()}
+
+    tokens = ["a", "ab", "idiot", "idxiot", "дурак", "дудак", "abc" * 10, "naïve7"]
+    marks = toxicity.Landmarks(tokens)
+    described = [plain(t) for t in tokens]
+    want = [[sum(v * b.get(k, 0) for k, v in a.items()) for b in described] for a in described]
+    assert marks.kernel(tokens) == pytest.approx(np.array(want), abs=1e-4)
+    assert want[2][3] > 0.2 and abs(want[4][4] - want[4][5]) > 0.2  # gaps are borne, words of other scripts differ
+    model = toxicity.Model(np.ones(toxicity.SYMBOLS**toxicity.LENGTH, np.float32), 0.0, np.zeros(4), 0.0)
+    assert model.token_scores(["x" * 200_000, "字" * 50_000]).shape == (2,)
+
+
+def test_quality_scores_as_plain_python():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 6)))
+    texts = [" ".join(word() for _ in range(rng.randint(1, 30))) for _ in range(40)] + ["", " ", "A\tb\n\nC", "one"]
+    m = quality.train([(t, i % 2) for i, t in enumerate(texts[:40])])
+    one = lambda x, kind: int(quality.bucket(np.array([x], np.uint64), quality.BITS, kind)[0])
+    big = 2**64
+
+    def gram(codes):  # the polynomial of Layout.grams
+        h = codes[0]
+        for c in codes[1:]:
+            h = (h * 0x9E3779B97F4A7C15 + c) % big
+        return h
+
+    def whole(codes):  # that of Layout.word_hashes
+        return sum((c + 1) * pow(0x9E3779B97F4A7C15, k, big) for k, c in enumerate(codes)) % big
+
+    for text, got in zip(texts, m.scores(texts), strict=True):
+        codes = [ord(c) for c in text.lower()]
+        found = [one(gram(codes[i : i + n]), n) for n in quality.CHAR_NGRAMS for i in range(len(codes) - n + 1)]
+        words = [whole([ord(c) for c in w]) for w in re.findall(r"[^\x20\x09-\x0D]+", text.lower())]
+        found += [one(w, 101) for w in words] + [one((a * 0xA0761D6478BD642F + b) % big, 102) for a, b in itertools.pairwise(words)]
+        z = m.bias + (sum(float(m.table[f]) for f in found) / len(found) if found else 0.0)
+        assert got == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-4)
+
+
+def plain_mixture(logs):
+    """Shares by expectation maximisation, and the set of best penalised likelihood, one document in plain Python."""
+    langs, n = len(logs[0]), len(logs)
+
+    def fit(allowed):
+        share = [1 / len(allowed) if k in allowed else 0.0 for k in range(langs)]
+        for _ in range(langid.MOST_ROUNDS):
+            new = [0.0] * langs
+            for row in logs:
+                part = [s * math.exp(x - max(row)) for s, x in zip(share, row, strict=True)]
+                for k in range(langs):
+                    new[k] += part[k] / sum(part) / n
+            moved, share = max(abs(a - b) for a, b in zip(new, share, strict=True)), new
+            if moved <= langid.TOLERANCE:
+                break
+        return share, sum(math.log(sum(s * math.exp(x - max(row)) for s, x in zip(share, row, strict=True))) for row in logs)
+
+    alone = [sum(row[k] - max(row) for row in logs) for k in range(langs)]
+    best = max(range(langs), key=lambda k: (alone[k], -k))
+    found = alone[best], {best}, [float(k == best) for k in range(langs)]
+    full, _ = fit(set(range(langs)))
+    order = sorted(range(langs), key=lambda k: (-full[k], k))
+    for size in range(2, langs + 1):
+        share, likelihood = fit(set(order[:size]))
+        value = likelihood - (size - 1) * 0.5 * math.log(max(2, n))
+        if value <= found[0] + 1e-9:
+            break
+        found = value, set(order[:size]), share
+    return found[1], found[2]
+
+
+def test_language_shares_are_those_of_plain_em():
+    rng = np.random.default_rng(7)
+    docs = []
+    for mix in ([1, 0, 0, 0], [0.5, 0.5, 0, 0], [0.3, 0.3, 0.4, 0], [0.25] * 4, [0.9, 0.1, 0, 0], [0, 0, 1, 0]):
+        for n in (1, 5, 60):
+            true = rng.choice(4, n, p=mix)
+            docs.append(rng.normal(-6, 1, (n, 4)) + 4 * np.eye(4)[true])
+    docs.append(np.zeros((0, 4)))
+    bounds = np.r_[0, np.cumsum([len(d) for d in docs])]
+    share, own = langid.mixtures(np.concatenate(docs).astype(np.float32), bounds)
+    for d, s, o in zip(docs, share, own, strict=True):
+        if len(d):
+            chosen, want = plain_mixture(d.astype(np.float32).astype(float).tolist())
+            assert set(np.flatnonzero(o).tolist()) == chosen and s.tolist() == pytest.approx(want, abs=1e-4)
+
+
 # ---------------------------------------------------------------------------- op3
 def plain_measures(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
