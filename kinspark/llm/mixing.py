@@ -7,15 +7,18 @@ sources among the output shards: a node gives its left half a multivariate
 hypergeometric draw of its blocks, so each shard gets the composition that a full
 shuffle would give it, and every quota is met exactly. Each shard then takes its counts
 from the sources' permuted blocks, disjoint from the other shards', and orders its own
-documents by hash.
+documents by hash. The tree is as deep as the words to be drawn need, at SHARD_WORDS a shard.
 
 Only DataFrame functions. What grows with the corpus is only ever grouped by source and
-block, and blocks keep to a source's share of MOST_BLOCKS, so a hot source is spread.
+block, and blocks keep to a source's share of MOST_BLOCKS, so a hot source is spread. The
+decisions are made on sizes alone and written; texts are read for the sizes and for the
+output, where they are ordered by a sort that can spill. The quotas of all sources are one row.
 
 Defined results: a null text has size 0; a null source is a source, the last; sources
 without words have target 0; repeated rows are documents of their own, which may differ
 in what is taken only where nothing but their hash order (id, size) tells them apart; an
-empty table gives an empty result; columns named like those added are replaced.
+empty table gives an empty result; columns named like those added are replaced, and any
+other names may be there.
 """
 
 from __future__ import annotations
@@ -23,12 +26,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut, release
 from .rules import let, words_of
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
 SEED = 20
-DEPTH = 6
+#: Words of an output shard, about.
+SHARD_WORDS = 1 << 26
+LEAST_DEPTH = 6
 #: Documents that a block has on average, as long as its source has at most MOST_BLOCKS.
 BLOCK_DOCS = 128
 MOST_BLOCKS = 65_536
@@ -111,7 +117,7 @@ def _deal(level: int):
     return deal
 
 
-def split(quotas: DataFrame, depth: int = DEPTH) -> DataFrame:
+def split(quotas: DataFrame, depth: int = LEAST_DEPTH) -> DataFrame:
     """(shard, counts) for 2^depth shards, from one row with the array counts of all quotas."""
     nodes = quotas.select(F.lit(0).cast("long").alias("shard"), "counts")
     for level in range(depth):
@@ -128,56 +134,93 @@ def split(quotas: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 # -------------------------------------------------------------------- mixture
-def mix(sized: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """sized (with size and source) and source_size, target, copies, taken and shards (one for each copy)."""
-    added = ("source_size", "target", "copies", "taken", "shards")
-    sources = targets(sized).withColumns({
+def _keyed(sized: DataFrame, sources: DataFrame) -> DataFrame:
+    """sized (doc_id, source, size) with the columns of its source, its hash and its block."""
+    own = F.xxhash64(F.lit(SEED), "doc_id", "size")
+    joined = sized.withColumn("__h", own).join(sources, F.col("source").eqNullSafe(F.col("__source")))
+    return joined.withColumn("__block", F.pmod(F.xxhash64(F.lit(SEED + 1), "__h"), F.col("__blocks")))
+
+
+def _fitting(keyed: DataFrame, ending: DataFrame) -> DataFrame:
+    """(__sid, __h) of the documents that are taken once more in the one block of a source in which its target ends: parts
+    of about BLOCK_DOCS documents one after another, and in the part where it ends, documents in hash order as far as each fits."""
+    units = keyed.select("__sid", "__block", "__h", "size").join(ending, ["__sid", "__block"]).groupBy("__sid", "__left", "__h").agg(F.sum("size").alias("w"))
+    number = units.groupBy("__sid").agg(F.ceil(F.count("*") / BLOCK_DOCS).alias("__parts"))
+    units = units.join(number, "__sid").withColumn("__part", F.pmod(F.xxhash64(F.lit(SEED + 4), "__h"), F.col("__parts")))
+    order = Window.partitionBy("__sid").orderBy("__part")
+    parts = units.groupBy("__sid", "__part", "__left").agg(F.sum("w").alias("__words"))
+    before = F.coalesce(F.sum("__words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rest = parts.select("__sid", "__part", (F.col("__left") - before).alias("__rest"), "__words").where("__rest > 0")
+    listed = units.select("__sid", "__part", "__h", "w").join(rest, ["__sid", "__part"])
+    whole = listed.where("__rest >= __words").select("__sid", "__h")
+    last = listed.where("__rest < __words").groupBy("__sid", "__rest").agg(F.array_sort(F.collect_list(F.struct("__h", "w"))).alias("us"))
+    zero = F.struct(F.col("__rest").alias("left"), F.array().cast("array<bigint>").alias("got"))
+    fits = F.aggregate("us", zero, lambda a, x: F.when(x["w"] <= a["left"], F.struct((a["left"] - x["w"]).alias("left"), F.concat(a["got"], F.array(x["__h"])).alias("got"))).otherwise(a), lambda a: a["got"])
+    return whole.unionByName(last.select("__sid", F.explode(fits).alias("__h")))
+
+
+def plan(sized: DataFrame, depth: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The decisions for sized (doc_id, source, size): sources; of each block whether it is drawn once more and its shards, one for each
+    draw; and the documents that are taken once more in a block drawn in part."""
+    sources = cut(targets(sized).withColumns({
         "__blocks": F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("__docs") / BLOCK_DOCS)).cast("long"),
         "__rounds": F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"),
-    }).withColumn("__rest", F.col("target") - F.col("__rounds") * F.col("source_size"))
-    own = F.xxhash64(F.lit(SEED), "doc_id", "size")
-    keyed = sized.drop(*added).withColumn("__h", own).join(sources, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__block", F.pmod(F.xxhash64(F.lit(SEED + 1), "__h"), F.col("__blocks")))
+    }).withColumn("__rest", F.col("target") - F.col("__rounds") * F.col("source_size")))
+    if depth is None:
+        words = sources.agg(F.sum("target")).first()[0] or 0
+        depth = max(LEAST_DEPTH, int(-(-words // SHARD_WORDS) - 1).bit_length())
+    keyed = _keyed(sized, sources)
     # blocks: at most MOST_BLOCKS for each source
     per_block = keyed.groupBy("__sid", "__block").agg(F.sum("size").alias("__words"), *[F.first(c).alias(c) for c in ("__rounds", "__rest")])
     order = Window.partitionBy("__sid").orderBy("__block")
     before = F.coalesce(F.sum("__words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = per_block.withColumns({"__place": F.row_number().over(order) - 1, "__left": F.col("__rest") - before})
-    blocks = blocks.withColumn("__last", F.col("__left") > 0).select("__sid", "__block", "__words", "__rounds", "__left", "__last")
+    blocks = per_block.withColumn("__left", F.col("__rest") - before)
+    blocks = cut(blocks.withColumn("__last", F.col("__left") > 0).select("__sid", "__block", "__words", "__rounds", "__left", "__last"))
     # every draw of a block in a round, in an order of its own within the source
     rounds = F.when(F.col("__rounds") + F.col("__last").cast("long") > 0, F.sequence(F.lit(1).cast("long"), F.col("__rounds") + F.col("__last").cast("long")))
     draws = blocks.select("__sid", "__block", F.explode(rounds).alias("__round")).withColumn("__nth", F.row_number().over(Window.partitionBy("__sid").orderBy(F.xxhash64(F.lit(SEED + 2), "__sid", "__block", "__round"), "__block", "__round")) - 1)
-    quota = draws.groupBy("__sid").agg(F.count("*").alias("q")).agg(F.array_sort(F.collect_list(F.struct("__sid", "q"))).alias("qs"))
+    quota = cut(draws.groupBy("__sid").agg(F.count("*").alias("q")).agg(F.array_sort(F.collect_list(F.struct("__sid", "q"))).alias("qs")))
     leaves = split(quota.select(F.transform("qs", lambda x: x["q"]).alias("counts")), depth)
     sids = quota.select(F.posexplode(F.transform("qs", lambda x: x["__sid"])).alias("__pos", "__sid"))
-    dealt = leaves.select("shard", F.posexplode("counts").alias("__pos", "__count")).join(sids, "__pos")
+    dealt = cut(leaves.select("shard", F.posexplode("counts").alias("__pos", "__count")).join(sids, "__pos"))
     so_far = F.coalesce(F.sum("__count").over(Window.partitionBy("__sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     places = dealt.withColumn("__from", so_far).where("__count > 0").select("__sid", "shard", F.explode(F.expr("sequence(__from, __from + __count - 1)")).alias("__nth"))
     placed = draws.join(places, ["__sid", "__nth"]).groupBy("__sid", "__block").agg(F.transform(F.array_sort(F.collect_list(F.struct("__round", "shard"))), lambda x: x["shard"]).alias("__shards"))
-    table = blocks.select("__sid", "__block", (F.col("__left") >= F.col("__words")).alias("__whole")).join(placed, ["__sid", "__block"], "left")
-    # in the one block of a source in which its target ends, documents in hash order as far as each still fits
+    table = cut(blocks.select("__sid", "__block", (F.col("__left") >= F.col("__words")).alias("__whole")).join(placed, ["__sid", "__block"], "left"), done=[quota, dealt])
     ending = blocks.where("__left > 0 and __left < __words").select("__sid", "__block", "__left")
-    units = keyed.select("__sid", "__block", "__h", "size").join(ending, ["__sid", "__block"]).groupBy("__sid", "__block", "__left", "__h").agg(F.sum("size").alias("w"))
-    listed = units.groupBy("__sid", "__block", "__left").agg(F.array_sort(F.collect_list(F.struct("__h", "w"))).alias("us"))
-    zero = F.struct(F.col("__left").alias("left"), F.array().cast("array<bigint>").alias("got"))
-    fits = F.aggregate("us", zero, lambda a, x: F.when(x["w"] <= a["left"], F.struct((a["left"] - x["w"]).alias("left"), F.concat(a["got"], F.array(x["__h"])).alias("got"))).otherwise(a), lambda a: a["got"])
-    fitting = listed.select("__sid", "__block", F.explode(fits).alias("__h")).withColumn("__fits", F.lit(True))
-    joined = keyed.join(table, ["__sid", "__block"]).join(fitting, ["__sid", "__block", "__h"], "left").withColumn("__more", F.coalesce("__whole", F.lit(False)) | F.coalesce("__fits", F.lit(False)))
+    fitting = cut(_fitting(keyed, ending), done=[blocks])
+    return sources, table, fitting
+
+
+def _taken(sized: DataFrame, plan: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
+    """sized (with doc_id, source and size) and source_size, target, copies, taken and shards (one for each copy)."""
+    sources, table, fitting = plan
+    once = fitting.withColumn("__fits", F.lit(True))
+    joined = _keyed(sized, sources).join(table, ["__sid", "__block"]).join(once, ["__sid", "__h"], "left").withColumn("__more", F.coalesce("__whole", F.lit(False)) | F.coalesce("__fits", F.lit(False)))
     copies = (F.col("__rounds") + F.col("__more").cast("long")).cast("int")
     out = joined.withColumn("copies", copies).withColumns({"taken": F.col("size") * F.col("copies"), "shards": F.slice(F.coalesce("__shards", F.array().cast("array<bigint>")), F.lit(1), F.col("copies"))})
-    return out.select(*[c for c in sized.columns if c not in added], *added)
+    return out.select(*sized.columns, "source_size", "target", "copies", "taken", "shards")
 
 
-def mixture(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """The mixed corpus: a row for each copy, with shard, copy and position, shards in files of their own order."""
-    mixed = mix(with_size(docs), depth).drop("source_size", "target", "taken")
-    rows = mixed.select("*", F.posexplode("shards").alias("copy", "shard")).drop("shards", "copies", "size")
-    rows = rows.withColumn("__o", F.xxhash64(F.lit(SEED + 3), "shard", "doc_id", "copy"))
-    position = F.row_number().over(Window.partitionBy("shard").orderBy("__o", "doc_id", "copy"))
-    return rows.withColumn("position", position.cast("long")).drop("__o")
+def mix(sized: DataFrame, depth: int | None = None) -> DataFrame:
+    """sized (doc_id, source, size) and source_size, target, copies, taken and shards (one for each copy)."""
+    return _taken(sized, plan(sized, depth))
 
 
-def op10_mixing(documents: DataFrame) -> DataFrame:
-    from .common import cut
+def mixture(docs: DataFrame, depth: int | None = None) -> DataFrame:
+    """The mixed corpus: a row for each copy, with shard, copy and position, by which the documents of a shard are in
+    order; the rows of a shard come together and sorted."""
+    kept = [c for c in docs.columns if c not in ("shard", "copy", "position")]
+    # a document's own columns stay in one, so that their names cannot clash with those used here
+    whole = with_size(docs.select(F.struct(*kept).alias("__doc"), "doc_id", "source", "text")).drop("text")
+    sizes = cut(whole.drop("__doc"))
+    mixed = _taken(whole, plan(sizes, depth))
+    release(sizes)
+    rows = mixed.select("__doc", "doc_id", F.posexplode("shards").alias("copy", "shard"))
+    rows = rows.withColumn("position", F.xxhash64(F.lit(SEED + 3), "shard", "doc_id", "copy"))
+    return rows.repartition("shard").sortWithinPartitions("shard", "position").select("__doc.*", "shard", "copy", "position")
+
 
+def op10_mixing(documents: DataFrame) -> DataFrame:
     sized = cut(with_size(documents.select("doc_id", "source", "text")).drop("text"))
     return mix(sized).select("doc_id", "size", "source_size", "target", "taken", F.size("shards").alias("copies"))

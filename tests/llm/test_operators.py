@@ -415,8 +415,17 @@ def test_mixture(spark, odd):
     assert all(abs(taken[s] - target[s]) <= 40 for s in target)
     mixed = mixing.mixture(docs).collect()
     assert len(mixed) == sum(r.copies for r in got)
-    for shard, places in collections.Counter(r.shard for r in mixed).items():
-        assert sorted(r.position for r in mixed if r.shard == shard) == list(range(1, places + 1))
+    again = {(r.doc_id, r.copy): (r.shard, r.position) for r in mixing.mixture(docs.repartition(3)).collect()}
+    assert again == {(r.doc_id, r.copy): (r.shard, r.position) for r in mixed}
+    # the rows of a shard come together, in the order of their position
+    order = [(r.shard, r.position) for r in mixed]
+    runs = [list(g) for _, g in itertools.groupby(order, key=lambda x: x[0])]
+    assert len(runs) == len({s for s, _ in order}) and all(g == sorted(g) for g in runs)
+    clashing = docs.limit(200).withColumns({c: F.lit(7) for c in ("shard", "copy", "__sid", "size", "__h", "target", "__block")})
+    out = mixing.mixture(clashing)
+    assert out.columns == [*docs.columns, "__sid", "size", "__h", "target", "__block", "shard", "copy", "position"] and {r["__sid"] for r in out.collect()} == {7}
+    deep = mixing.mixture(docs, depth=8).collect()
+    assert len(deep) == len(mixed) and max(r.shard for r in deep) >= 64
     assert mixing.op10_mixing(odd).count() == len(ODD) and mixing.op10_mixing(odd.limit(0)).count() == 0
 
 
