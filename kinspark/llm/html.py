@@ -1,24 +1,29 @@
 """Main text of web pages by equivalence-class template deduction.
 
-A page is read into blocks of text, each with its path of block elements. Tokens are the
-paths that occur in a page, and the texts of its blocks, articles included. Over all pages of
-a host, a token's occurrence vector (how often each page has it) is summed up as a
-hash that does not depend on the order of pages; tokens of one host with equal vectors form an equivalence
+A page is read as a sequence of tokens: the elements that begin and end in it, each with
+its path of block elements and their classes, and the texts of its blocks. Over all pages of a host, a
+token's occurrence vector (how often each page has it) is summed up as a hash that does
+not depend on the order of pages; tokens of one host with equal vectors form an equivalence
 class. Classes are valid if they have at least two tokens (the page itself is one), occur in at
 least SUPPORT of the host's pages, of LEAST_PAGES or more, and their tokens recur in one order on
 every page. Taken by falling support, a class joins the template if, on every page, it lies in one
-slot of each class before it or holds that in one of its own. The template's texts are fixed; what
-is between them fills its slots. Of that, a page's main text is what is inside `article` or `main`
-where the page has them, else in the container that has most text of its own in the host's pages.
-Elements that say what they are (navigation, footers, forms, adverts, ...) are never content.
+slot of each class before it or holds that in one of its own.
+
+The template's texts are fixed and are taken out of every page. What stands between the tokens of
+its first class that is once on every page are the page's slots; the slot with most text over the
+host's pages is the content's, and the innermost element of the template around it (if that is
+more than the body) is what is extracted, slot by slot, from every page. Elements that say what they
+are (navigation, footers, forms, adverts, ...) are never content, wherever they are. A page without
+that element, or of a host without a template, is read by itself: inside `article` or `main` where it
+has them, else in the element with most text of its own.
 
 Occurrence hashes and counts are sums by host and token, combined before the shuffle, so
 a hot host is spread. Templates hold tokens that most pages of a host have, no more than a page does;
 they are broadcast only if they are measured to be under BROADCAST_BYTES in all, and joined otherwise.
 
 Defined results: null or blank html has empty text; a null url or one without `://` has
-an empty host, like others a host of its own; repeated rows are extracted alike; an
-empty table gives an empty result; added columns (text, n_chars) replace columns of those names.
+an empty host, like others a host of its own; repeated rows count once and are extracted alike; an
+empty table gives an empty result; tags that are not closed are text up to the next one; added columns (text, n_chars) replace columns of those names.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from __future__ import annotations
 import html as entities
 import re
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -62,38 +67,60 @@ HEADS = {"header", "masthead", "banner"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"ul", "ol", "dl", "table", "body", "html", "article", "section", "main", "div", "blockquote", "form", "nav", "aside", "footer", "header", "menu", "select"}
 
-_MARK = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>""", re.S)
+# no part goes beyond the next "<" but quoted values, and none is tried again in another way: one pass over any text
+_MARK = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^'"<>]++|"[^"]*+"|'[^']*+')*+)>|<[!?][^<>]*+>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _PART = re.compile(r"[^a-z0-9]+")
 
 
 @dataclass
 class Block:
-    path: str
+    key: int
     text: str
     #: In an article (2), in main or an element named as content (1), elsewhere (0).
     rank: int
     #: All of the text is in links.
     linked: bool
+    #: In an element that is no content.
+    out: bool
+    #: The number of the element that holds it as a container.
+    home: int
 
 
 @dataclass
 class _Element:
     tag: str
-    path: str
+    key: int
     out: bool
     rank: int
+    number: int
+    home: int
+
+
+@dataclass
+class Event:
+    token: int
+    #: Of an element's begin (1) and end (-1) its number and tag; of a text (0) its block.
+    step: int
+    number: int = 0
+    tag: str = ""
+    block: Block | None = None
+
+
+def token(*parts: str | int) -> int:
+    return xxhash.xxh64_intdigest("\x00".join(map(str, parts)).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 def _named(tag: str, attributes: str, inside: int) -> tuple[str, bool, int]:
-    """An element's name with its class or id, whether it is no content, and its rank."""
+    """An element's name with the words of its class and id, whether it is no content, and its rank."""
     name, out, rank = tag, tag in NOT_CONTENT or (tag == "header" and inside < 1), {"article": 2, "main": 1}.get(tag, 0)
     if attributes.strip():
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), entities.unescape(value.strip("\"'")).lower()
             if key in ("class", "id"):
                 words = set(_PART.split(value))
-                name += "." + value
+                # names with digits tell pages apart, not places
+                name += "." + ".".join(sorted(w for w in value.split() if not any(map(str.isdigit, w))))
                 # a content element's own name may well have such a word in it, and an article its header
                 if tag not in ("html", "body", "main") and words & NOT_CONTENT_WORDS and not (inside and words & HEADS):
                     out = True
@@ -107,26 +134,38 @@ def _named(tag: str, attributes: str, inside: int) -> tuple[str, bool, int]:
     return name, out, rank
 
 
-def read_page(page: str | None) -> list[Block]:
-    """Blocks with text, those of elements that are no content left out."""
+CONTAINERS = {"div", "section", "body", "td", "main", "article", "center"}
+
+
+def read_page(page: str | None) -> list[Event]:
+    """The page's tokens in order. Depth costs nothing: a path is a hash, and tags that close nothing are known as such."""
     page = page or ""
-    stack = [_Element("", "", False, 0)]
-    blocks: list[Block] = []
+    stack = [_Element("", 0, False, 0, 0, 0)]
+    held: Counter = Counter()
+    events: list[Event] = []
     text: list[str] = []
-    anchors, linked, plain = 0, 0, 0
+    anchors, linked, plain, number = 0, 0, 0, 0
     at = 0
 
     def end_block():
         nonlocal linked, plain
         top = stack[-1]
-        if not top.out and text and (words := entities.unescape("".join(text)).split()):
-            blocks.append(Block(top.path, " ".join(words), top.rank, plain == 0 and linked > 0))
+        if text and (words := entities.unescape("".join(text)).split()):
+            block = Block(top.key, " ".join(words), top.rank, plain == 0 and linked > 0, top.out, top.home)
+            events.append(Event(token("text", top.key, block.text), 0, block=block))
         text.clear()
         linked = plain = 0
 
+    def pop(k: int):
+        """Close the elements from place k of the stack on."""
+        while len(stack) > k:
+            e = stack.pop()
+            held[e.tag] -= 1
+            events.append(Event(token("end", e.key), -1, e.number, e.tag))
+
     def add(part: str):
         nonlocal linked, plain
-        if part and not stack[-1].out:
+        if part:
             text.append(part)
             if part.strip():
                 linked, plain = linked + bool(anchors), plain + (not anchors)
@@ -142,12 +181,10 @@ def read_page(page: str | None) -> list[Block]:
                 anchors = max(0, anchors - 1)
             elif tag in BLOCKS:
                 end_block()
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == tag:
-                        del stack[k:]
-                        break
+                if held[tag]:
+                    pop(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
         elif tag in RAW:
-            closing = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            closing = re.compile(rf"</{tag}\s*+>", re.I).search(page, at)
             at = closing.end() if closing else len(page)
         elif tag == "a":
             anchors += 1
@@ -158,78 +195,69 @@ def read_page(page: str | None) -> list[Block]:
         elif tag in BLOCKS:
             end_block()
             if stack[-1].tag == "p" and tag != "p":
-                stack.pop()
+                pop(len(stack) - 1)
             elif tag == "p" or tag in CLOSES:
                 shut = CLOSES.get(tag, {"p"})
-                for k in range(len(stack) - 1, 0, -1):
+                k = len(stack) - 1
+                while k > 0 and stack[k].tag not in SCOPES and any(held[t] for t in shut):
                     if stack[k].tag in shut:
-                        del stack[k:]
+                        pop(k)
                         if tag != "tr":
                             break
-                    elif stack[k].tag in SCOPES:
-                        break
+                    k -= 1
             if m[3].endswith("/"):
                 continue
             top = stack[-1]
             name, out, rank = _named(tag, m[3], top.rank)
-            stack.append(_Element(tag, f"{top.path}>{name}", top.out or out, max(rank, top.rank)))
+            number += 1
+            stack.append(_Element(tag, token(top.key, name), top.out or out, max(rank, top.rank), number, number if tag in CONTAINERS else top.home))
+            held[tag] += 1
+            events.append(Event(token("begin", stack[-1].key), 1, number, tag))
     add(page[at:])
     end_block()
-    return blocks
-
-
-def token(*parts: str) -> int:
-    return xxhash.xxh64_intdigest("\x00".join(parts)) - (1 << 63)
+    pop(1)
+    return events
 
 
-def container(path: str) -> str:
-    """Where a paragraph, heading or list entry stands; a division is its own."""
-    head, _, last = path.rpartition(">")
-    return path if last.split(".")[0] in ("div", "section", "body", "td", "main", "article", "center") else head
+#: The token that every page has once.
+PAGE = token("page")
 
 
-PATH, TEXT, PLACE = 0, 1, 2
-
-
-def tokens_of(blocks: list[Block]) -> list[tuple[int, int, int, int]]:
-    """(token, kind, occurrences, characters not in links) of a page; the empty path is in every page."""
-    count: Counter = Counter({(token(""), PATH): 1})
-    chars: Counter = Counter()
-    for b in blocks:
-        count[token(b.path), PATH] += 1
-        count[token(b.path, b.text), TEXT] += 1
-        if not b.rank:
-            place = container(b.path)
-            count[token(place), PLACE] += 1
-            chars[token(place), PLACE] += 0 if b.linked else len(b.text)
-    return [(*k, n, chars[k]) for k, n in count.items()]
+def tokens_of(events: list[Event]) -> Counter:
+    """How often a page has each token."""
+    return Counter([PAGE, *(e.token for e in events)])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["host", "page", "token", "kind", "n", "chars"]
     for b in batches:
-        rows = [(h, p, *t) for h, p, page in zip(*(c.to_pylist() for c in b.columns), strict=True) for t in tokens_of(read_page(page))]
+        rows = [(h, p, t, n) for h, p, page in zip(*(c.to_pylist() for c in b.columns), strict=True) for t, n in tokens_of(read_page(page)).items()]
         if rows:
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["host", "page", "token", "n"])
 
 
-def relations(blocks: list[Block], class_of: dict[int, int]) -> list[tuple[int, int, int]]:
-    """(a, b, how) of a page's classes. For a = b, the hash of the order in which the tokens of the class recur, 0 if in
-    none; else the slot of a that holds all of b, 0 before, after or between the recurrences of a, -1 if in no one slot."""
+def _places(tokens: list[int], class_of: dict[int, int]) -> dict[int, tuple[list[tuple[int, int]], list[int], bool]]:
+    """Of each class on a page: (place, token) in order, the order in which its tokens recur, and whether they do."""
     places: dict[int, list[tuple[int, int]]] = {}
-    tokens = [token(""), *(t for b in blocks for t in (token(b.path), token(b.path, b.text)))]
     for at, t in enumerate(tokens):
         if t in class_of:
             places.setdefault(class_of[t], []).append((at, t))
-    found, ordered = [], {}
+    found = {}
     for c, own in places.items():
         size = len({t for _, t in own})
         order = [t for _, t in own[:size]]
-        runs = len(set(order)) == size and [t for _, t in own] == order * (len(own) // size)
-        found.append((c, c, token(*map(str, order)) or 1 if runs else 0))
+        found[c] = own, order, len(set(order)) == size and [t for _, t in own] == order * (len(own) // size)
+    return found
+
+
+def relations(events: list[Event], class_of: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(a, b, how) of a page's classes. For a = b, the hash of the order in which the tokens of the class recur, 0 if in
+    none; else the slot of a that holds all of b, 0 before, after or between the recurrences of a, -1 if in no one slot."""
+    found, ordered = [], {}
+    for c, (own, order, runs) in _places([PAGE, *(e.token for e in events)], class_of).items():
+        found.append((c, c, token(*order) or 1 if runs else 0))
         if runs:
-            ordered[c] = ([at for at, _ in own], size)
+            ordered[c] = ([at for at, _ in own], len(order))
     for a, (at, size) in ordered.items():
         for b, (other, n) in ordered.items():
             if a != b:
@@ -239,6 +267,34 @@ def relations(blocks: list[Block], class_of: dict[int, int]) -> list[tuple[int,
     return found
 
 
+def slots(events: list[Event], class_of: dict[int, int]) -> list[tuple[int, int, int, int]]:
+    """(class, from, to, characters) of a page's slots, for classes that are on it once: the characters of texts that are
+    neither in links nor in elements that are no content, and the tokens that what is extracted for the slot lies between,
+    the ends of the innermost element of the class around it or, where that is the whole body, of the slot."""
+    known = {e.token: e for e in events if e.step}
+    found = []
+    for c, (own, order, runs) in _places([PAGE, *(e.token for e in events)], class_of).items():
+        if not runs or len(own) != len(order):
+            continue
+        chars: dict[int, int] = defaultdict(int)
+        at = [a for a, _ in own]
+        for i, e in enumerate(events, 1):
+            if e.block and e.token not in class_of and not e.block.out and not e.block.linked and (k := bisect_left(at, i)):
+                chars[k - 1] += len(e.block.text)
+        around: list[tuple[int, int]] = []
+        ends = {known[t].number: t for t in order if t in known and known[t].step < 0}
+        for k, t in enumerate(order):
+            e = known.get(t)
+            if e and e.step > 0 and e.number in ends and e.tag not in ("html", "body"):
+                around.append((t, ends[e.number]))
+            elif around and t == around[-1][1]:
+                around.pop()
+            if chars[k]:
+                begin, end = around[-1] if around else (t, order[k + 1] if k + 1 < len(order) else PAGE)
+                found.append((c, begin, end, chars[k]))
+    return found
+
+
 def _relate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sets: dict = {}
     for b in batches:
@@ -246,9 +302,12 @@ def _relate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for h, page, known in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
             if h not in sets:
                 sets[h] = {t["token"]: t["class"] for t in known.as_py()}
-            rows += [(h, *r) for r in relations(read_page(page), sets[h])]
+            events = read_page(page)
+            rows += [(h, *r, None) for r in relations(events, sets[h])]
+            rows += [(h, *r) for r in slots(events, sets[h])]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.string(), pa.int64(), pa.int64(), pa.int64()], strict=True)], ["host", "a", "b", "how"])
+            kinds = [pa.string(), *[pa.int64()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["host", "a", "b", "how", "chars"])
 
 
 def nested(classes: list[dict], fits: set[tuple[int, int]]) -> list[int]:
@@ -276,42 +335,67 @@ def _small(table: DataFrame, bytes_of: Column) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """host, boilerplate (tokens of fixed texts) and place (the token of the content's container), from pages (host, page, html)."""
+    """host, boilerplate (the template's tokens) and place (the tokens that the content lies between), from pages (host, page, html)."""
     from pyspark.sql.pandas.functions import arrow_udf
 
-    rows = pages.select("host", "page", "html").mapInArrow(_count, "host string, page long, token long, kind int, n long, chars long")
-    rows = rows.groupBy("host", "page", "token", "kind").agg(F.max("n").alias("n"), F.max("chars").alias("chars"))  # a page that is there in copies counts once
-    vectors = rows.groupBy("host", "token", "kind").agg(F.count("*").alias("pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.sum("chars").alias("chars"))
-    vectors = cut(vectors)  # read three times, and whole pages are read for it
-    root = token("")
-    of_host = vectors.groupBy("host").agg(F.max(F.when((F.col("token") == root) & (F.col("kind") == PATH), F.col("pages"))).alias("all"), F.max(F.when(F.col("kind") == PLACE, F.struct("chars", "token"))).alias("best"))
-    # the classes of a host: tokens of one vector, collected only where they have the support
-    held = vectors.where(F.col("kind") != PLACE).join(of_host.where(F.col("all") >= LEAST_PAGES).select("host", "all"), "host").where(F.col("pages") >= SUPPORT * F.col("all"))
-    classes = held.withColumn("class", F.xxhash64("pages", "vector")).groupBy("host", "class", "pages").agg(F.count("*").alias("size"), F.collect_list(F.struct("token", "kind")).alias("tokens")).where("size >= 2")
+    rows = pages.select("host", "page", "html").mapInArrow(_count, "host string, page long, token long, n long")
+    rows = rows.groupBy("host", "page", "token").agg(F.max("n").alias("n"))  # a page that is there in copies counts once
+    vectors = rows.groupBy("host", "token").agg(F.count("*").alias("pages"), F.sum(F.xxhash64("page", "n").cast("decimal(38,0)")).alias("vector"))
+    # what fewer pages have than the least support of the smallest host is in no class
+    vectors = cut(vectors.where(F.col("pages") >= SUPPORT * LEAST_PAGES))
+    of_host = vectors.where(F.col("token") == PAGE).select("host", F.col("pages").alias("all")).where(F.col("all") >= LEAST_PAGES)
+    held = vectors.join(of_host, "host").where(F.col("pages") >= SUPPORT * F.col("all"))
+    # the classes of a host: tokens of one vector, no more than a page has
+    classes = held.withColumn("class", F.xxhash64("pages", "vector")).groupBy("host", "class", "pages").agg(F.count("*").alias("size"), F.collect_list("token").alias("tokens")).where("size >= 2")
     classes = cut(classes)
-    known = classes.select("host", "class", F.explode("tokens").alias("t")).groupBy("host").agg(F.collect_list(F.struct("t.token", "class")).alias("known"))
-    known = _small(cut(known).withColumnRenamed("host", "h"), F.size("known") * 16 + 64)
-    how = pages.join(known, F.col("host") == F.col("h")).select("host", "html", "known").mapInArrow(_relate, "host string, a long, b long, how long")
-    fits = how.groupBy("host", "a", "b").agg(F.min("how").alias("least"), F.max("how").alias("most")).where("least = most and if(a = b, least <> 0, least >= 0)")
-    fits = fits.groupBy("host").agg(F.collect_list(F.struct("a", "b")).alias("fits"))
+    known = classes.select("host", "class", F.explode("tokens").alias("token")).groupBy("host").agg(F.collect_list(F.struct("token", "class")).alias("known"))
+    known = _small(cut(known, done=[vectors]).withColumnRenamed("host", "h"), F.size("known") * 16 + 64)
+    seen = pages.join(known, F.col("host") == F.col("h")).select("host", "html", "known").mapInArrow(_relate, "host string, a long, b long, how long, chars long")
+    # relations: the same on every page or not; slots: characters in all
+    seen = cut(seen.groupBy("host", "a", "b", F.when(F.col("chars").isNotNull(), F.col("how")).alias("to")).agg(F.min("how").alias("least"), F.max("how").alias("most"), F.sum("chars").alias("chars")))
+    fits = seen.where("chars is null").where("least = most and if(a = b, least <> 0, least >= 0)").groupBy("host").agg(F.collect_list(F.struct("a", "b")).alias("fits"))
     listed = classes.groupBy("host").agg(F.collect_list(F.struct("class", "pages", "size")).alias("classes")).join(fits, "host", "left")
-    taken = listed.withColumn("class", arrow_udf(_nest, ArrayType(LongType()))("classes", "fits")).select("host", F.explode("class").alias("class"))
-    texts = classes.join(taken, ["host", "class"]).select("host", F.transform(F.filter("tokens", lambda t: t["kind"] == TEXT), lambda t: t["token"]).alias("texts"))
-    fixed = texts.groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("boilerplate"))
-    return of_host.join(fixed, "host", "left").select("host", F.coalesce("boilerplate", F.array().cast("array<bigint>")).alias("boilerplate"), F.col("best.token").alias("place"))
+    taken = cut(listed.withColumn("class", arrow_udf(_nest, ArrayType(LongType()))("classes", "fits")).select("host", F.explode("class").alias("class")))
+    own = classes.join(taken, ["host", "class"])
+    fixed = own.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("boilerplate"))
+    # of the first class that is once on every page, the slot of most text
+    mass = seen.where("chars is not null").select("host", F.col("a").alias("class"), F.col("b").alias("from"), "to", "chars")
+    best = mass.join(own.select("host", "class", "pages", "size"), ["host", "class"]).groupBy("host").agg(F.max(F.struct("pages", "size", "class", "chars", "from", "to")).alias("best"))
+    return fixed.join(best, "host", "left").select("host", "boilerplate", F.struct("best.from", "best.to").alias("place"))
+
+
+def _alone(events: list[Event]) -> list[Block]:
+    """Of a page that shows no template, the texts that are its content."""
+    blocks = [e.block for e in events if e.block and not e.block.out]
+    if top := max((b.rank for b in blocks), default=0):
+        return [b for b in blocks if b.rank == top]
+    chars: Counter = Counter()
+    for b in blocks:
+        chars[b.home] += 0 if b.linked else len(b.text)
+    home = max(chars, key=lambda k: (chars[k], -k), default=0)
+    found, inside = [], home == 0
+    for e in events:
+        if e.step and e.number == home:
+            inside = e.step > 0
+        elif e.block and inside and not e.block.out and not e.block.linked:
+            found.append(e.block)
+    return found
 
 
-def main_text(page: str | None, boilerplate: set[int], place: int | None) -> str:
-    blocks = read_page(page)
-    free = [b for b in blocks if token(b.path, b.text) not in boilerplate]
-    # of what the template leaves open, a marked article is the content; it chooses, and does not bring fixed texts back
-    top = max((b.rank for b in blocks), default=0)
-    if top:
-        return "\n".join(b.text for b in free if b.rank == top)
-    free = [b for b in free if not b.linked]
-    # the host's container with all that is nested in it; a page without it is read as a whole
-    home = next((c for b in free for c in [container(b.path)] if token(c) == place), None)
-    return "\n".join(b.text for b in free if home is None or container(b.path).startswith(home))
+def main_text(page: str | None, boilerplate: set[int], place: tuple[int, int] | None) -> str:
+    events = read_page(page)
+    if place and any(e.token == place[0] for e in events):
+        found, inside = [], False
+        for e in events:
+            if inside and e.token == place[1]:
+                inside = False
+            elif e.token == place[0]:
+                inside = True
+            if inside and e.block and e.token not in boilerplate and not e.block.out:
+                found.append(e.block)
+        return "\n".join(b.text for b in found)
+    fixed = {id(e.block) for e in events if e.block and e.token in boilerplate}
+    return "\n".join(b.text for b in _alone(events) if id(b) not in fixed)
 
 
 def _texts(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -320,7 +404,8 @@ def _texts(columns: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[p
         out = []
         for page, own, place in zip(pages.to_pylist(), fixed, places.to_pylist(), strict=True):
             key = own.as_py() or []
-            out.append(main_text(page, sets.setdefault(tuple(key), set(key)), place))
+            between = (place["from"], place["to"]) if place and place["from"] is not None else None
+            out.append(main_text(page, sets.setdefault(tuple(key), set(key)), between))
         yield pa.array(out, pa.string())
 
 
