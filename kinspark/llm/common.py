@@ -45,11 +45,13 @@ def cut(df: DataFrame, done: Iterable[DataFrame] = ()) -> DataFrame:
 
 
 def release(table: DataFrame) -> None:
-    """Remove what cut wrote for a table."""
+    """Remove what cut wrote for a table. Spark removes the shuffle files of what is not used any more when the
+    driver collects its garbage, so that is asked for."""
     if path := getattr(table, "_cut_path", None):
         spark = table.sparkSession
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        spark._jvm.System.gc()
 
 
 def learnable(doc_id: Column) -> Column:

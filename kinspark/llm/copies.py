@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, release
 from .simhash import MOST_HOME, WORD_BITS, _typed, anchors_of, components, dealt, homes_of, with_components
 
 SHINGLE = 5
@@ -275,7 +275,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     sets = cut(texts.select("fp", arrow_udf(_typed(_sets), BinaryType())(F.col("text")).alias("set")))
     side = lambda name: sets.select(F.col("fp").alias(name), F.col("set").alias(f"set_{name}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.where(arrow_udf(_cosines, DoubleType())("set_a", "set_b") >= SIMILAR).select("a", "b")
+    return cut(both.where(arrow_udf(_cosines, DoubleType())("set_a", "set_b") >= SIMILAR).select("a", "b"), done=[sets])
 
 
 def _key(doc_id: str, text: str) -> Column:
@@ -292,9 +292,11 @@ def _grouped(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
     pairs = cut(candidates_of(per_sketch))
     linked = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
     # the text of each sketch in a pair is that of its first row
-    stands = per_sketch.join(linked, "fp", "left_semi").select("fp", F.col("first.key").alias("key"))
+    stands = cut(per_sketch.join(linked, "fp", "left_semi").select("fp", F.col("first.key").alias("key")))  # of a known size
     texts = keyed.select("key", "text").join(stands, "key").dropDuplicates(["fp"])
-    links = cut(confirmed(pairs, texts), done=[pairs])
+    links = confirmed(pairs, texts)
+    release(pairs)
+    release(stands)
     return rows, per_sketch, components(links)
 
 
