@@ -292,8 +292,9 @@ def _grouped(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFr
     pairs = cut(candidates_of(per_sketch))
     linked = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
     # the text of each sketch in a pair is that of its first row
-    stands = cut(per_sketch.join(linked, "fp", "left_semi").select("fp", F.col("first.key").alias("key")))  # of a known size
-    texts = keyed.select("key", "text").join(stands, "key").dropDuplicates(["fp"])
+    stands = cut(per_sketch.join(linked, "fp", "left_semi").select("fp", F.col("first.key").alias("key")))
+    # texts go by key at every size: what is small here is not at scale
+    texts = keyed.select("key", "text").join(stands.hint("merge"), "key").dropDuplicates(["fp"])
     links = confirmed(pairs, texts)
     release(pairs)
     release(stands)
@@ -316,8 +317,8 @@ def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     kept = cut(rooted.select(F.col("first.key").alias("key")).join(often, "key").withColumnRenamed("key", "__key"))
     keyed = docs.withColumn("__key", _key(doc_id, text))
     if not kept.where("__n > 1").head(1):
-        return keyed.join(kept.select("__key"), "__key", "left_semi").drop("__key")
-    both = cut(keyed.join(kept, "__key"))
+        return keyed.join(kept.select("__key").hint("merge"), "__key", "left_semi").drop("__key")
+    both = cut(keyed.join(kept.hint("merge"), "__key"))
     alike = both.where("__n > 1").withColumn("__all", F.xxhash64(F.to_json(F.struct(*docs.columns))))
     least = alike.groupBy("__key").agg(F.min("__all").alias("__all"))
     one = alike.join(least, ["__key", "__all"], "left_semi").dropDuplicates(["__key"])
