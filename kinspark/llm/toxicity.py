@@ -27,7 +27,7 @@ letters that stand alone is never parted.
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -51,6 +51,8 @@ NORMED = 24
 TOP = 3
 #: Symbols that are looked up at a time.
 CHUNK = 1 << 17
+#: Tokens that are laid out at a time.
+RUN = 5000
 #: Bound on the labelled documents of each class that the model is fitted on.
 PER_CLASS = 1200
 LANDMARKS = 256
@@ -109,6 +111,12 @@ def _symbols(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def _grams(tokens: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For runs of places in the tokens' symbols: the token of each, the index of each subsequence that begins there
     (0 in places where it would leave the token), and its weight, 0 there."""
+    for at in range(0, len(tokens), RUN):
+        for owner, index, weight in _some_grams(tokens[at : at + RUN]):
+            yield owner + at, index, weight
+
+
+def _some_grams(tokens: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     symbols, starts = _symbols(tokens)
     size = np.diff(starts)
     # the norm of what a token of so many symbols has
@@ -293,13 +301,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def choose_landmarks(toxic: list[set[str]], clean: list[set[str]], count: int) -> list[str]:
-    """Tokens that mark toxic documents most, and for a third the commonest of clean ones."""
-    a, b = Counter(t for s in toxic for t in s), Counter(t for s in clean for t in s)
-    odds = {t: n * np.log((n + 0.5) / (len(toxic) + 1) / ((b[t] + 0.5) / (len(clean) + 1))) for t, n in a.items() if n > 1}
-    marks = sorted(odds, key=lambda t: (-odds[t], t))[: count * 2 // 3]
-    common = [t for t, _ in sorted(b.items(), key=lambda x: (-x[1], x[0])) if t not in set(marks)]
-    return marks + common[: count - len(marks)]
+def choose_landmarks(names: list[str], toxic: np.ndarray, clean: np.ndarray, documents: tuple[int, int], count: int) -> list[str]:
+    """Tokens that mark toxic documents most, and for a third the commonest of clean ones, from the number of documents of either
+    kind that have each token."""
+    odds = np.where(toxic > 1, toxic * np.log((toxic + 0.5) / (documents[0] + 1) / ((clean + 0.5) / (documents[1] + 1))), -np.inf)
+    best = np.argsort(-odds, kind="stable")[: 4 * count]
+    best = sorted(best[np.isfinite(odds[best])].tolist(), key=lambda t: (-odds[t], names[t]))[: count * 2 // 3]
+    common = sorted(np.argsort(-clean, kind="stable")[: 4 * count].tolist(), key=lambda t: (-clean[t], names[t]))
+    return [names[t] for t in best] + [names[t] for t in common if t not in set(best) and clean[t]][: count - len(best)]
 
 
 def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = PENALTY, rounds: int = 30) -> tuple[np.ndarray, float]:
@@ -342,16 +351,26 @@ class _Sentences:
     """The sentences of labelled documents as token numbers. Nyström features are made only for the tokens of
     sentences that are trained on; the values of all others come from a table of subsequences."""
 
-    def __init__(self, docs: list[list[list[str]]]):
+    def __init__(self, docs: Iterator[list[list[str]]]):
         place: dict[str, int] = {}
-        parts = [[place.setdefault(t, len(place)) for t in s] for d in docs for s in d]
+        flat, ends, owner = array("i"), array("q", [0]), array("i")
+        for i, d in enumerate(docs):
+            for s in d:
+                flat.extend(place.setdefault(t, len(place)) for t in s)
+                ends.append(len(flat))
+                owner.append(i)
         self.names = list(place)
-        self.bounds = np.r_[0, np.cumsum([len(p) for p in parts])].astype(np.int64)
-        self.flat = np.fromiter((t for p in parts for t in p), np.int64, self.bounds[-1])
-        self.owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+        self.flat, self.bounds, self.owner = np.array(flat, np.int32), np.array(ends, np.int64), np.array(owner, np.int32)
         self.slot = np.full(len(self.names), -1)
         self.made: np.ndarray | None = None
 
+    def documents_with(self, which: np.ndarray) -> np.ndarray:
+        """In how many of the documents marked each token is."""
+        doc = np.repeat(self.owner, np.diff(self.bounds))
+        keep = which[doc]
+        pairs = np.unique(doc[keep].astype(np.int64) * len(self.names) + self.flat[keep])
+        return np.bincount(pairs % max(1, len(self.names)), minlength=len(self.names))
+
     def values(self, token_values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(token_values[self.flat], self.bounds[:-1])
 
@@ -368,17 +387,16 @@ class _Sentences:
 
 
 def train(rows: list[tuple[str, int]], rounds: int = 4) -> Model:
-    docs = [(sentences(tokenise(t)), y) for t, y in rows]
-    if len({y for s, y in docs if s}) < 2:
+    label = np.array([y for _, y in rows], np.int64)
+    parts = _Sentences(sentences(tokenise(t)) for t, _ in rows)
+    if len(np.unique(label[parts.owner])) < 2:
         return Model(np.zeros(SYMBOLS**LENGTH, np.float32), 0.0, np.zeros(TOP + 1), -40.0)
-    sets = [({t for s in d for t in s}, y) for d, y in docs]
-    marks = choose_landmarks([s for s, y in sets if y == 1], [s for s, y in sets if y == 0], LANDMARKS)
+    toxic, clean = (parts.documents_with(label == y) for y in (1, 0))
+    marks = choose_landmarks(parts.names, toxic, clean, (int(label.sum()), int((label == 0).sum())), LANDMARKS)
     landmarks = Landmarks(marks)
     values, vectors = np.linalg.eigh(landmarks.kernel(marks).astype(np.float64))
     keep = values > 1e-3 * values.max()
     half = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)  # K^(-1/2), the Nyström map
-    parts, label = _Sentences([d for d, _ in docs]), np.array([y for _, y in docs])
-    del docs, sets
     owner = parts.owner
     bad = label[owner] == 1
     # the first guess at a toxic document's sentences: those with the marks of most weight
