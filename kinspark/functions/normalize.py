@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from . import rules as R
+from . import forms
+from . import tables as R
 from . import text as T
 from . import words as W
 
@@ -43,14 +44,6 @@ def squeeze(t: Column) -> Column:
     return F.trim(F.regexp_replace(t, f"[{SPACE}]+", " "))
 
 
-def short_forms(listed: list[str]) -> list[tuple[str, str]]:
-    return [(rf"\b{short}(?=\s|,|$)", full) for short, full in (x.split() for x in listed)]
-
-
-def doubled(listed: str) -> list[tuple[str, str]]:
-    return [(rf"\b({listed})\s+\1\b", "$1")]
-
-
 # ------------------------------------------------------------------- accents
 def _without_diacritics(s: str) -> str:
     parts = unicodedata.normalize("NFKD", s)
@@ -81,7 +74,7 @@ def strip_accents(t: Column) -> Column:
 def fold(t: Column) -> Column:
     """The fold before scoring: all non-spacing marks go, and French legal forms as whole words; null is empty."""
     bare = _arrow(_without_marks, F.coalesce(t, F.lit("")))
-    return squeeze(F.regexp_replace(bare, java(R.FOLDED_AWAY).replace("(?iud)", ""), ""))
+    return squeeze(F.regexp_replace(bare, java(rf"\b{forms.one_of(R.FOLDED_AWAY)}\b").replace("(?iud)", ""), ""))
 
 
 def _lower(t: Column) -> Column:
@@ -124,11 +117,9 @@ def transliterate(t: Column) -> Column:
 def normalize_name(name: Column, country: Column) -> Column:
     """A business name in lower case, without accents, signs and noise, its legal form spelt out; null is empty."""
     raw = F.coalesce(name, F.lit(""))
-    tail = squeeze_ends(F.regexp_extract(raw, java(R.ALIAS), 1))
-    t = rewrite(F.when(F.length(tail) >= 3, tail).otherwise(raw), R.NAME_NOISE)
-    t = rewrite(T.clean_punct(_lower(t)), R.LEGAL)
-    t = rewrite(t, [(rf"(?:^|\s+){words}(?:\s+|$)", f" {form} ") for words, form in R.INDIC_LEGAL])
-    t = rewrite(t, doubled(R.DOUBLED_NAME))
+    tail = squeeze_ends(F.regexp_extract(raw, java(R.alias()), 1))
+    t = rewrite(F.when(F.length(tail) >= 3, tail).otherwise(raw), R.name_noise())
+    t = rewrite(T.clean_punct(_lower(t)), [*R.legal(), *R.indic_legal(), *[forms.doubled([w]) for w in R.DOUBLED_NAME]])
     t = let(t, lambda v: F.when(country == "India", F.regexp_replace(v, java(r"\bprivate\b$"), "private limited")).otherwise(v))
     return squeeze(T.clean_dots(t))
 
@@ -195,24 +186,22 @@ def normalize_state(t: Column, country: Column) -> Column:
 
 def normalize_address(address: Column, country: Column) -> Column:
     """An address in lower case, without accents and signs but commas, its words spelt out and its state as a code; null is empty."""
-    t = rewrite(_lower(F.coalesce(address, F.lit(""))), [(R.NO_VALUE, "")])
+    t = rewrite(_lower(F.coalesce(address, F.lit(""))), [(rf"\b{forms.one_of(R.NO_VALUE)}\b", "")])
     t = F.regexp_replace(T.clean_punct(t), r"([a-zA-Z]-)0+(\p{Nd}+)", "$1$2")
     t = normalize_state(T.clean_dots(t), country)
+    # a saint after a number, or last in its part, is a street
     t = T.expand_saints(rewrite(t, [(r"\b(\d+(?:st|nd|rd|th))\s+saint\b", "$1 street")]))
     street = [(r"(\b[a-zA-Z]{3,}\s+)saint(?=\s*,|\s*$)", "$1street")]
-    t = let(t, lambda v: F.when(country.isin("US", "India"), rewrite(v, street)).when(country == "France", rewrite(v, R.FRENCH_LETTERS)).otherwise(v))
-    for listed in (short_forms(R.SHORT), R.COURT, short_forms(R.SHORT_AFTER_COURT), R.FRENCH_STREETS, short_forms(R.SHORT_FRENCH), R.ADDRESS, short_forms(R.DIRECTIONS)):
-        t = rewrite(t, listed)
-    t = rewrite(t, [(rf"\b{word}\s+(?={R.STREET_WORDS})\b", f"{short} ") for word, short in (x.split() for x in R.ORDINALS)])
-    return squeeze(rewrite(t, doubled(R.DOUBLED_ADDRESS) + R.LANDMARK_SHORT))
+    t = let(t, lambda v: F.when(country.isin("US", "India"), rewrite(v, street)).when(country == "France", rewrite(v, R.french_letters())).otherwise(v))
+    return squeeze(rewrite(t, R.address_words()))
 
 
 def landmarks(address: Column) -> Column:
     """What an address says to be near, opposite and so on, in order, as `near x`; null has none."""
     low = F.lower(F.coalesce(address, F.lit("")))
-    group = lambda n: F.regexp_extract_all(low, F.lit(java(R.LANDMARK)), F.lit(n))
-    bare = F.transform(group(1), lambda p: F.regexp_replace(p, r"\.+$", ""))
-    prep = F.transform(bare, lambda p: F.coalesce(*[F.when(p == a, full) for a, full in R.LANDMARK_ALIASES.items()], p))
+    group = lambda n: F.regexp_extract_all(low, F.lit(java(R.landmark())), F.lit(n))
+    full = {short: p for p, short in R.PREPOSITIONS.items() if short}
+    prep = F.transform(group(1), lambda p: F.coalesce(*[F.when(F.rtrim(p, F.lit(".")) == a, to) for a, to in full.items()], p))
     said = F.zip_with(prep, F.transform(group(2), squeeze_ends), lambda p, d: F.when(d != "", F.concat_ws(" ", p, d)))
     return F.array_compact(said)
 

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 
-def pair_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
-    """The native features of (s1_id, cid); what a record adds is made before the join."""
+def pair_features(pairs: DataFrame, records: DataFrame, texts: bool = False) -> DataFrame:
+    """The native features of (s1_id, cid), with texts also both names and addresses; what a record adds is made before the join."""
     own = records.select(
-        "entity_id", "country", F.col("business_name").alias("name"), F.array_distinct(T.sig_tokens(F.col("business_name"))).alias("n"), F.array_distinct(T.pair_addr_tokens(F.col("business_address"))).alias("a"),
+        "entity_id", "country", F.col("business_name").alias("name"), F.col("business_address").alias("address"), F.array_distinct(T.sig_tokens(F.col("business_name"))).alias("n"), F.array_distinct(T.pair_addr_tokens(F.col("business_address"))).alias("a"),
         T.sig_digits(F.col("business_address")).alias("d"), T.state_code(F.col("business_address"), F.col("country")).alias("st"), T.postal_code(F.col("business_address"), F.col("country")).alias("pin"),
     )
     side = lambda name: own.select(*[F.col(c).alias(f"{name}_{c}") for c in own.columns])
@@ -21,6 +21,7 @@ def pair_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
         *pairs.columns, F.round(two(T.jaccard, "n"), 6).alias("name_jaccard"), F.round(two(T.overlap, "n"), 6).alias("name_overlap"), F.round(two(T.length_ratio, "name"), 6).alias("name_len_ratio"),
         two(T.both_equal, "name").alias("name_exact"), F.round(two(T.jaccard, "a"), 6).alias("addr_jaccard"), two(T.both_equal, "st").alias("state_match"),
         two(T.both_equal, "pin").alias("postal_match"), two(T.both_equal, "country").alias("country_match"), two(T.digit_status, "d").alias("digit_status"), F.col("l_country").alias("country"),
+        *([f"{side_}_{c}" for side_ in "lr" for c in ("name", "address")] if texts else []),
     )
 
 
@@ -75,6 +76,33 @@ def macro_micro(scores: DataFrame) -> DataFrame:
     )
 
 
+def report(truth: DataFrame, found: DataFrame) -> DataFrame:
+    """All figures of an evaluation, one row: truth (s1_id, ids; rows that come twice count twice) against found (s1_id, got,
+    ordinal; of rows that come twice the last counts). A missing prediction is empty; micro figures are over records with matches."""
+    none = F.array().cast("array<string>")
+    last = found.groupBy("s1_id").agg(F.max_by("got", "ordinal").alias("got"), F.lit(True).alias("__p"))
+    j = truth.withColumn("__t", F.lit(True)).join(last, "s1_id", "full_outer").withColumns({"ids": F.coalesce("ids", none), "got": F.coalesce("got", none)})
+    j = j.withColumns({"tp": F.size(F.array_intersect("ids", "got")), "nt": F.size(F.array_distinct("ids")), "nf": F.size(F.array_distinct("got")), "t": F.coalesce("__t", F.lit(False)), "seen": F.coalesce("__p", F.lit(False))})
+    right, zero = (F.col("nt") == 0) & (F.col("nf") == 0), F.col("tp") == 0
+    score = lambda c: F.when(right, 1.0).when(zero, 0.0).otherwise(c)
+    p, r = F.col("tp") / F.col("nf"), F.col("tp") / F.col("nt")
+    j = j.withColumns({"p": score(p), "r": score(r), "f": score(1.25 * p * r / (0.25 * p + r)), "one": F.col("t") & (F.col("nt") == 0), "many": F.col("t") & (F.col("nt") > 0)})
+    mean = lambda c, of: F.coalesce(F.avg(F.when(F.col(of), F.col(c))), F.lit(0.0))
+    total = lambda c: F.coalesce(F.sum(F.when(F.col("many"), c)), F.lit(0))
+    over = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
+    sums = j.agg(
+        mean("f", "t").alias("macro_f05"), mean("p", "t").alias("macro_precision"), mean("r", "t").alias("macro_recall"),
+        F.count_if("t").alias("total_ground_truth_entities"), F.countDistinct(F.when(F.col("seen"), F.col("s1_id"))).alias("total_predicted_entities"),
+        F.count_if("one").alias("singletons_count"), F.count_if(F.col("one") & (F.col("nf") == 0)).alias("singletons_correct"), F.count_if("many").alias("non_singletons_count"),
+        mean("f", "many").alias("non_singleton_macro_f05"), mean("p", "many").alias("non_singleton_macro_precision"), mean("r", "many").alias("non_singleton_macro_recall"),
+        total(F.col("tp")).alias("micro_tp"), total(F.col("nf") - F.col("tp")).alias("micro_fp"), total(F.col("nt") - F.col("tp")).alias("micro_fn"),
+        F.count_if(F.col("t") & ~F.col("seen")).alias("gt_missing_in_predictions"), F.count_if(~F.col("t")).alias("extra_predicted_entities"),
+    )
+    tp, fp, fn = (F.col(f"micro_{c}") for c in ("tp", "fp", "fn"))
+    mp, mr = over(tp, tp + fp), over(tp, tp + fn)
+    return sums.select("*", over(F.col("singletons_correct"), F.col("singletons_count")).alias("singleton_accuracy"), mp.alias("micro_precision"), mr.alias("micro_recall"), over(1.25 * mp * mr, 0.25 * mp + mr).alias("micro_f05"))
+
+
 def threshold_sweep(scored: DataFrame, truth_pairs: DataFrame, cuts: list[float]) -> DataFrame:
     """P, R and F0.5 of the pairs at each cut: each pair counts for the cuts that it passes."""
     marked = scored.join(truth_pairs.withColumn("y", F.lit(1)), ["s1_id", "cid"], "left").withColumn("y", F.coalesce("y", F.lit(0)))

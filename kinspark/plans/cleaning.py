@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import forms
 from ..functions import normalize as N
-from ..functions import rules as R
+from ..functions import tables as R
 from ..functions import text as T
 from ..functions import words as W
 from ..operators import matching as M
@@ -40,12 +41,9 @@ def _profile(columns: list[str], patterns: dict, **options):
 
 
 def _sql_rules(column: str, listed: list[tuple[str, str]]) -> str:
-    """Rewriting rules for RE2: what a rule only looks at ahead is captured and put back."""
+    """Rewriting rules for RE2."""
     out = column
-    for pattern, by in listed:
-        pattern, by = pattern.replace(r"(?=\s|,|$)", r"(\s|,|$)").replace(r"(?=\s|$)", r"(\s|$)"), by.replace("$1", r"\1")
-        if pattern.endswith("|$)"):
-            by += r"\2" if pattern.startswith("(") else r"\1"
+    for pattern, by in forms.re2(listed):
         out = f"regexp_replace({out}, '{pattern}', '{by}', 'g')"
     return out
 
@@ -54,19 +52,15 @@ _ascii = lambda c: f"strip_accents(replace(replace(lower({c}), 'œ', 'oe'), 'æ'
 _punct = lambda c: f"trim(regexp_replace(regexp_replace(translate(replace({c}, '&', ' and '), '[](){{}}:;#|', '            '), '--+', '-', 'g'), '\\s+', ' ', 'g'))".replace("{{}}", "{}")
 _dots = lambda c: f"trim(regexp_replace(replace(regexp_replace({c}, '\\.(\\S)', '. \\1', 'g'), '.', ''), '\\s+', ' ', 'g'))"
 
-NAME_SQL = f"""{REC}{NOISY}, c1 AS (SELECT n.entity_id, r.country, {_sql_rules(_punct(_ascii("n.raw")), R.LEGAL)} AS x FROM noisy n JOIN rec r USING (entity_id)),
-  c2 AS (SELECT entity_id, country, {"".join("regexp_replace(" for _ in R.DOUBLED_NAME.split("|"))}x{"".join(f", '{chr(92)}b{w}{chr(92)}s+{w}{chr(92)}b', '{w}', 'g')" for w in R.DOUBLED_NAME.split("|"))} AS x FROM c1)
-  SELECT entity_id, {_dots("CASE country WHEN 'India' THEN regexp_replace(x, '" + chr(92) + "bprivate$', 'private limited') ELSE x END")} AS name FROM c2"""
+_DOUBLED = [(rf"\b{w}\s+{w}\b", w) for w in R.DOUBLED_NAME]  # RE2 has no back references
+NAME_SQL = f"""{REC}{NOISY}, c1 AS (SELECT n.entity_id, r.country, {_sql_rules(_punct(_ascii("n.raw")), [*R.legal(), *_DOUBLED])} AS x FROM noisy n JOIN rec r USING (entity_id))
+  SELECT entity_id, {_dots("CASE country WHEN 'India' THEN regexp_replace(x, '" + chr(92) + "bprivate$', 'private limited') ELSE x END")} AS name FROM c1"""
 
-ORDINAL_RULES = [(rf"\b{w}\s+({R.STREET_WORDS})\b", rf"{s} \1") for w, s in (x.split() for x in R.ORDINALS)]
-_ADDRESS_SQL = [(p.replace(r"\b(?=\s+[a-z]+)", r"(\s+[a-z])"), by + (r"\1" if "[a-z]+)" in p else "")) for p, by in R.ADDRESS if r"(?=\s*" not in p]
-_ADDRESS_RULES = [
-    (r"\b(\d+(?:st|nd|rd|th))\s+saint\b", "$1 street"), *N.short_forms(R.SHORT), *R.COURT, *N.short_forms(R.SHORT_AFTER_COURT), *[r for r in R.FRENCH_STREETS if "du|de" not in r[0]],
-    *N.short_forms(R.SHORT_FRENCH), *_ADDRESS_SQL, *N.short_forms(R.DIRECTIONS), *ORDINAL_RULES, *R.LANDMARK_SHORT,
-]
+# what looks ahead for a number, and doubled words, do not occur in these addresses
+_ADDRESS_RULES = [(r"\b(\d+(?:st|nd|rd|th))\s+saint\b", "$1 street"), *[r for r in R.address_words() if r"(?=\s*\d" not in r[0] and r"\1" not in r[0]]]
 # edges of RE2 know no ß, so it is written as letters on the way
-ADDRESS_SQL = f"""{REC}, c1 AS (SELECT entity_id, country, {_dots(_punct(f"regexp_replace(replace({_ascii('business_address')}, 'ß', 'zqz'), '{R.NO_VALUE}', '', 'g')"))} AS x FROM rec),
-  c2 AS (SELECT entity_id, CASE country WHEN 'France' THEN {_sql_rules("x", [(r"\br\s+([a-zA-Z])", r"rue $1"), (r"\bch\s+([a-zA-Z])", r"chemin $1"), (r"\bav\s+([a-zA-Z])", r"avenue $1")])} ELSE x END AS x FROM c1)
+ADDRESS_SQL = f"""{REC}, c1 AS (SELECT entity_id, country, {_dots(_punct(f"regexp_replace(replace({_ascii('business_address')}, 'ß', 'zqz'), '{chr(92)}b{forms.one_of(R.NO_VALUE)}{chr(92)}b', '', 'g')"))} AS x FROM rec),
+  c2 AS (SELECT entity_id, CASE country WHEN 'France' THEN {_sql_rules("x", R.french_letters())} ELSE x END AS x FROM c1)
   SELECT entity_id, replace(trim(regexp_replace({_sql_rules("x", _ADDRESS_RULES)}, '\\s+', ' ', 'g')), 'zqz', 'ß') AS address FROM c2"""
 
 
@@ -102,7 +96,7 @@ PARTS = {
     "normalize_address": (lambda s, d: records(s, d).select("entity_id", N.normalize_address(F.col("business_address"), F.col("country")).alias("address")), ADDRESS_SQL),
     "normalize_part_address": (lambda s, d: V.part_records(s, d).select("entity_id", N.normalize_address(F.col("business_address"), F.col("country")).alias("address")), None),
     "strip_accents": (lambda s, d: records(s, d).select("entity_id", N.strip_accents(F.col("business_name")).alias("name")), f"{REC} SELECT entity_id, strip_accents(business_name) AS name FROM rec"),
-    "fold_accents": (lambda s, d: records(s, d).select("entity_id", N.fold(F.col("business_name")).alias("name")), f"{REC} SELECT entity_id, trim(regexp_replace(regexp_replace(strip_accents(business_name), '{R.FOLDED_AWAY}', '', 'g'), '\\s+', ' ', 'g')) AS name FROM rec"),
+    "fold_accents": (lambda s, d: records(s, d).select("entity_id", N.fold(F.col("business_name")).alias("name")), f"{REC} SELECT entity_id, trim(regexp_replace(regexp_replace(strip_accents(business_name), '{chr(92)}b{forms.one_of(R.FOLDED_AWAY)}{chr(92)}b', '', 'g'), '\\s+', ' ', 'g')) AS name FROM rec"),
     "transliterate": (in_script, f"{REC} SELECT entity_id, replace(translate(translate(business_name, 'akmKs', 'ाकमखस'), 'ाकमस', 'akms'), 'ख', 'kh') AS name FROM rec"),
     "landmarks": (with_landmarks, LANDMARK_SQL),
     "profile_suffixes": _profile(["business_name"], P.SUFFIXES),

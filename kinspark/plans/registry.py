@@ -212,14 +212,12 @@ def rf_train_score(s: SparkSession, d: str) -> DataFrame:
     return model.transform(data).select("s1_id", "cid", F.round(F.get(vector_to_array("probability"), F.lit(1)), 6).alias("prob"))
 
 
-def _jw(s: SparkSession, d: str, compatible: bool) -> DataFrame:
+def _jw(s: SparkSession, d: str) -> DataFrame:
     r = records(s, d).select("entity_id", "business_name")
     pairs = B.generate(records(s, d)).select("s1_id", "cid")
     j = pairs.join(r.withColumnsRenamed({"entity_id": "s1_id", "business_name": "a"}), "s1_id").join(r.withColumnsRenamed({"entity_id": "cid", "business_name": "b"}), "cid")
-    out = {"jw": F.round(E.pairwise(E.jaro_winkler, F.col("a"), F.col("b"), compatible=compatible), 6)}
-    if not compatible:
-        out |= {"ratio": F.round(E.pairwise(E.indel, F.col("a"), F.col("b")), 6), "token_sort": F.round(E.pairwise(E.token_sort, F.col("a"), F.col("b")), 6), "token_set": F.round(E.pairwise(E.token_set, F.col("a"), F.col("b")), 6)}
-    return j.select("s1_id", "cid", *[c.alias(k) for k, c in out.items()])
+    out = {"jw": E.jaro_winkler, "ratio": E.indel, "token_sort": E.token_sort, "token_set": E.token_set}
+    return j.select("s1_id", "cid", *[F.round(E.pairwise(f, F.col("a"), F.col("b")), 6).alias(k) for k, f in out.items()])
 
 
 def _of_records(**columns):
@@ -278,9 +276,8 @@ PARTS = {
         o AS (SELECT m.entity_id AS s1_id, cid, min((m.kind, m.pos, ix.adt)) AS o FROM m JOIN ix USING (country, kind, k) WHERE m.source = 'S1' GROUP BY m.entity_id, cid)
         SELECT s1_id, cid, row_number() OVER (PARTITION BY s1_id ORDER BY o) AS rank FROM o QUALIFY rank <= 8"""),
     "pair_features_native": (lambda s, d: M.pair_features(B.generate(records(s, d)).select("s1_id", "cid"), records(s, d)), f"{REC}{KEYS}{CANDIDATES}{FEATURES} SELECT * FROM feat"),
-    # DuckDB compares bytes where these compare code points, so no SQL has these results
-    "jw_compat": (lambda s, d: _jw(s, d, True), None),
-    "edit_similarities": (lambda s, d: _jw(s, d, False), None),
+    # of these, DuckDB has no Indel similarity
+    "edit_similarities": (lambda s, d: _jw(s, d), None),
     "threshold_decision": (lambda s, d: scored(s, d).select("s1_id", "cid", "digit_status", "prob", T.passes(F.col("prob"), F.col("digit_status"), F.col("country"), 0.6, 0.7, 0.7, 0.75).alias("accepted")),
         f"""{REC}{KEYS}{CANDIDATES}{FEATURES} SELECT s1_id, cid, digit_status, prob, CASE digit_status WHEN 'conflict' THEN false WHEN 'confirm' THEN prob >= CASE WHEN contains(upper(country), 'FR') THEN 0.7 ELSE 0.6 END ELSE prob >= CASE WHEN contains(upper(country), 'FR') THEN 0.75 ELSE 0.7 END END AS accepted FROM sc"""),
     "assign_greedy": (lambda s, d: M.assign_greedy(scored(s, d)).select("s1_id", "cid", "prob"), f"{REC}{KEYS}{CANDIDATES}{FEATURES}{GREEDY} SELECT s1_id, cid, prob FROM asg"),
@@ -318,9 +315,9 @@ PARTS = {
 
 
 def _all() -> dict:
-    from . import cleaning, learned
+    from . import cleaning, delivery, learned
 
-    return PARTS | cleaning.PARTS | learned.PARTS
+    return PARTS | cleaning.PARTS | learned.PARTS | delivery.PARTS
 
 
 def queries() -> dict:
