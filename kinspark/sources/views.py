@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 RECORD = "entity_id string, business_name string, business_address string, country string"
 
 
-def read_source(spark: SparkSession, path: str, na: bool = True) -> DataFrame:
-    """A tab-separated record file; missing values, and with na what is written for them, are empty."""
+def file_order() -> Column:
+    """Rises along a file that is read in splits: its path, the place of the split, the row in it."""
+    return F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("row"))
+
+
+def read_source(spark: SparkSession, path: str, na: bool = True, order: bool = False) -> DataFrame:
+    """A tab-separated record file; missing values, and with na what is written for them, are empty. With order, ordinal
+    says where a record stands."""
     raw = spark.read.schema(RECORD).option("sep", "\t").option("header", True).option("quote", '"').csv(path)
     clean = lambda c: F.coalesce(F.when(F.col(c).isin(NA_TOKENS), "").otherwise(F.col(c)), F.lit("")) if na else F.coalesce(F.col(c), F.lit(""))
-    return raw.select(*[clean(c).alias(c) for c in raw.columns])
+    return raw.select(*[clean(c).alias(c) for c in raw.columns], *[file_order().alias("ordinal")] * order)
 
 
-def id_lists(df: DataFrame, key: str, ids: str) -> DataFrame:
-    """Comma-joined ids as an array, trimmed, empty ones dropped."""
+def id_lists(df: DataFrame, key: str, ids: str, *keep: str) -> DataFrame:
+    """Comma-joined ids as an array, trimmed, empty ones dropped; other columns only as asked for."""
     parts = F.filter(F.transform(F.split(F.coalesce(F.col(ids), F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
-    return df.select(F.trim(key).alias(key), parts.alias(ids))
+    return df.select(F.trim(key).alias(key), parts.alias(ids), *keep)
 
 
 def join_ids(found: DataFrame, key: str, value: str, everyone: DataFrame) -> DataFrame:
