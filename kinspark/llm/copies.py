@@ -283,6 +283,11 @@ def _key(doc_id: str, text: str) -> Column:
     return F.xxhash64(doc_id, text)
 
 
+def _apart(docs: DataFrame, doc_id: str, text: str, *left_out: str) -> DataFrame:
+    """__doc, the columns of docs in one, so that no name clashes, and __key."""
+    return docs.select(F.struct(*[c for c in docs.columns if c not in left_out]).alias("__doc"), _key(doc_id, text).alias("__key"))
+
+
 def _grouped(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """rows (id, key, bits of the sketch), a row for each sketch (fp, first, first_id, n), and the roots of linked sketches."""
     keyed = docs.select(F.col(doc_id).alias("id"), _key(doc_id, text).alias("key"), F.col(text).alias("text"))
@@ -305,7 +310,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """docs and component_id, the least doc_id that can be reached by links."""
     rows, per_sketch, roots = _grouped(docs, doc_id, text)
     found = with_components(rows.select("key", "bits").distinct(), per_sketch, roots, "bits").select(F.col("key").alias("__key"), "component_id")
-    return docs.drop("component_id").withColumn("__key", _key(doc_id, text)).join(found, "__key").drop("__key")
+    return _apart(docs, doc_id, text, "component_id").join(found, "__key").select("__doc.*", "component_id")
 
 
 def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -315,11 +320,11 @@ def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rooted = per_sketch.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
     often = rows.groupBy("key").agg(F.count("*").alias("__n"))
     kept = cut(rooted.select(F.col("first.key").alias("key")).join(often, "key").withColumnRenamed("key", "__key"))
-    keyed = docs.withColumn("__key", _key(doc_id, text))
+    keyed = _apart(docs, doc_id, text)
     if not kept.where("__n > 1").head(1):
-        return keyed.join(kept.select("__key").hint("merge"), "__key", "left_semi").drop("__key")
+        return keyed.join(kept.select("__key").hint("merge"), "__key", "left_semi").select("__doc.*")
     both = cut(keyed.join(kept.hint("merge"), "__key"))
-    alike = both.where("__n > 1").withColumn("__all", F.xxhash64(F.to_json(F.struct(*docs.columns))))
+    alike = both.where("__n > 1").withColumn("__all", F.xxhash64(F.to_json("__doc")))
     least = alike.groupBy("__key").agg(F.min("__all").alias("__all"))
     one = alike.join(least, ["__key", "__all"], "left_semi").dropDuplicates(["__key"])
-    return both.where("__n = 1").select(*docs.columns).unionByName(one.select(*docs.columns))
+    return both.where("__n = 1").select("__doc.*").unionByName(one.select("__doc.*"))
