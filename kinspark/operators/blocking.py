@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import normalize as N
 from ..functions import text as T
 from ..functions.words import BRANCH_WEIGHTS
 
@@ -21,7 +22,7 @@ PREFIX = "state+prefix3"
 def prepared(records: DataFrame) -> DataFrame:
     """records with tokens, state and postal code."""
     return records.withColumns({
-        "name_toks": T.sig_tokens(F.col("business_name")), "addr_toks": T.key_addr_tokens(F.col("business_address")),
+        "name_toks": T.sig_tokens(N.transliterate(F.col("business_name"))), "addr_toks": T.key_addr_tokens(F.col("business_address")),
         "st": T.state_code(F.col("business_address"), F.col("country")), "pin": T.postal_code(F.col("business_address"), F.col("country")),
     })
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import normalize as N
 from ..functions import text as T
 
 
 def pair_features(pairs: DataFrame, records: DataFrame, texts: bool = False) -> DataFrame:
     """The native features of (s1_id, cid), with texts also both names and addresses; what a record adds is made before the join."""
     own = records.select(
-        "entity_id", "country", F.col("business_name").alias("name"), F.col("business_address").alias("address"), F.array_distinct(T.sig_tokens(F.col("business_name"))).alias("n"), F.array_distinct(T.pair_addr_tokens(F.col("business_address"))).alias("a"),
+        "entity_id", "country", F.col("business_name").alias("name"), F.col("business_address").alias("address"), F.array_distinct(T.sig_tokens(N.transliterate(F.col("business_name")))).alias("n"), F.array_distinct(T.pair_addr_tokens(F.col("business_address"))).alias("a"),
         T.sig_digits(F.col("business_address")).alias("d"), T.state_code(F.col("business_address"), F.col("country")).alias("st"), T.postal_code(F.col("business_address"), F.col("country")).alias("pin"),
     )
     side = lambda name: own.select(*[F.col(c).alias(f"{name}_{c}") for c in own.columns])

@@ -119,11 +119,8 @@ NOISY = ", noisy AS (SELECT entity_id, business_name || ([' Inc', ' L.L.C.', ' P
 
 
 def mini_match(s: SparkSession, d: str) -> DataFrame:
-    """Best vendor of each reference record among those that share a two-token or fallback key."""
-    p = B.prepared(records(s, d))
-    ks = B.keys(p).where(F.col("pass").isin(3, 7))
-    side = lambda keep, name: ks.join(p.where(keep).select("entity_id"), "entity_id", "left_semi").select("key", F.col("entity_id").alias(name))
-    pairs = side("source = 'S1'", "s1_id").join(side("source <> 'S1'", "cid"), "key").select("s1_id", "cid").distinct()
+    """Best vendor of each reference record among its candidates, by the overlap of their names."""
+    pairs = B.generate(records(s, d)).select("s1_id", "cid")
     scores = M.pair_features(pairs, records(s, d)).select("s1_id", "cid", "name_jaccard")
     best = scores.groupBy("s1_id").agg(F.max(F.struct("name_jaccard", "cid")).alias("b"))
     return best.select("s1_id", F.col("b.cid").alias("cid"), F.col("b.name_jaccard").alias("name_jaccard"))
@@ -227,8 +224,7 @@ def _of_records(**columns):
 _name, _addr, _country = (lambda: F.col("business_name")), (lambda: F.col("business_address")), (lambda: F.col("country"))
 _text = lambda c: F.array_join(c, " ")
 PARTS = {
-    "mini_match": (mini_match, f"""{REC}{KEYS}, pr AS (SELECT DISTINCT a.entity_id AS s1_id, b.entity_id AS cid FROM keys a JOIN keys b USING (key) WHERE a.pass IN (3, 7) AND b.pass IN (3, 7) AND a.source = 'S1' AND b.source <> 'S1'),
-        j AS (SELECT s1_id, cid, round(CASE WHEN len(list_concat(l.nt, r.nt)) = 0 THEN 1 ELSE len(list_intersect(l.nt, r.nt)) / len(list_distinct(list_concat(l.nt, r.nt))) END, 6) AS name_jaccard FROM pr JOIN p l ON s1_id = l.entity_id JOIN p r ON cid = r.entity_id)
+    "mini_match": (mini_match, f"""{REC}{KEYS}{CANDIDATES}, j AS (SELECT s1_id, cid, round(CASE WHEN len(list_concat(l.nt, r.nt)) = 0 THEN 1 ELSE len(list_intersect(l.nt, r.nt)) / len(list_distinct(list_concat(l.nt, r.nt))) END, 6) AS name_jaccard FROM cand JOIN p l ON s1_id = l.entity_id JOIN p r ON cid = r.entity_id)
         SELECT s1_id, cid, name_jaccard FROM j QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY name_jaccard DESC, cid DESC) = 1"""),
     "scan_source_profile": (
         lambda s, d: records(s, d).groupBy("source", "country").agg(F.count("*").alias("records"), F.countDistinct("business_name").alias("names"), F.count_if(F.col("business_name") == "").alias("empty_names"), F.count_if(F.upper("business_name") == F.col("business_name")).alias("upper_names")),
@@ -315,9 +311,9 @@ PARTS = {
 
 
 def _all() -> dict:
-    from . import cleaning, delivery, learned
+    from . import cleaning, delivery, learned, probing
 
-    return PARTS | cleaning.PARTS | learned.PARTS | delivery.PARTS
+    return PARTS | cleaning.PARTS | learned.PARTS | delivery.PARTS | probing.PARTS
 
 
 def queries() -> dict:
