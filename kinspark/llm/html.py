@@ -34,6 +34,7 @@ from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -73,7 +74,7 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"
 _PART = re.compile(r"[^a-z0-9]+")
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     key: int
     text: str
@@ -87,7 +88,7 @@ class Block:
     home: int
 
 
-@dataclass
+@dataclass(slots=True)
 class _Element:
     tag: str
     key: int
@@ -95,9 +96,10 @@ class _Element:
     rank: int
     number: int
     home: int
+    end: int = 0
 
 
-@dataclass
+@dataclass(slots=True)
 class Event:
     token: int
     #: Of an element's begin (1) and end (-1) its number and tag; of a text (0) its block.
@@ -111,6 +113,7 @@ def token(*parts: str | int) -> int:
     return xxhash.xxh64_intdigest("\x00".join(map(str, parts)).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+@lru_cache(maxsize=4096)
 def _named(tag: str, attributes: str, inside: int) -> tuple[str, bool, int]:
     """An element's name with the words of its class and id, whether it is no content, and its rank."""
     name, out, rank = tag, tag in NOT_CONTENT or (tag == "header" and inside < 1), {"article": 2, "main": 1}.get(tag, 0)
@@ -134,6 +137,14 @@ def _named(tag: str, attributes: str, inside: int) -> tuple[str, bool, int]:
     return name, out, rank
 
 
+@lru_cache(maxsize=1 << 14)
+def _element(parent: int, name: str) -> tuple[int, int, int]:
+    """An element's path, and the tokens of its begin and end."""
+    key = token(parent, name)
+    return key, token("begin", key), token("end", key)
+
+
+MASK = (1 << 64) - 1
 CONTAINERS = {"div", "section", "body", "td", "main", "article", "center"}
 
 
@@ -152,7 +163,7 @@ def read_page(page: str | None) -> list[Event]:
         top = stack[-1]
         if text and (words := entities.unescape("".join(text)).split()):
             block = Block(top.key, " ".join(words), top.rank, plain == 0 and linked > 0, top.out, top.home)
-            events.append(Event(token("text", top.key, block.text), 0, block=block))
+            events.append(Event(xxhash.xxh64_intdigest(block.text.encode("utf-8", "surrogatepass"), top.key & MASK) - (1 << 63), 0, block=block))
         text.clear()
         linked = plain = 0
 
@@ -161,7 +172,7 @@ def read_page(page: str | None) -> list[Event]:
         while len(stack) > k:
             e = stack.pop()
             held[e.tag] -= 1
-            events.append(Event(token("end", e.key), -1, e.number, e.tag))
+            events.append(Event(e.end, -1, e.number, e.tag))
 
     def add(part: str):
         nonlocal linked, plain
@@ -210,9 +221,10 @@ def read_page(page: str | None) -> list[Event]:
             top = stack[-1]
             name, out, rank = _named(tag, m[3], top.rank)
             number += 1
-            stack.append(_Element(tag, token(top.key, name), top.out or out, max(rank, top.rank), number, number if tag in CONTAINERS else top.home))
+            key, begin, end = _element(top.key, name)
+            stack.append(_Element(tag, key, top.out or out, max(rank, top.rank), number, number if tag in CONTAINERS else top.home, end))
             held[tag] += 1
-            events.append(Event(token("begin", stack[-1].key), 1, number, tag))
+            events.append(Event(begin, 1, number, tag))
     add(page[at:])
     end_block()
     pop(1)
