@@ -15,7 +15,7 @@ template, so a text that looks like one is escaped as well.
 
 Defined results: null text and null role are empty; turns of one number are ordered by
 role and text; rows with a null conversation id form one conversation; an empty table
-gives no conversation. A conversation is one string, so its turns meet in one task.
+gives no conversation. Typed content that is not as it should be is text (see parts_from). A conversation is one string, so its turns meet in one task.
 """
 
 from __future__ import annotations
@@ -90,14 +90,34 @@ class Document:
 KINDS = {"text": Text, "image": Image, "audio": Audio, "document": Document}
 
 
+def _number(x: object) -> float:
+    """A count or a duration; 0 for what is none, or not finite, or negative."""
+    return min(float(x), 1e12) if isinstance(x, (int, float)) and not isinstance(x, bool) and 0 <= x < float("inf") else 0
+
+
 def parts_from(content: str | None, typed: bool) -> list:
-    """Parts of a message: of JSON (a list of {"type": ..., ...}) if typed, else one text."""
+    """Parts of a message: of JSON (a list of {"type": ..., ...}) if typed, else one text. What is no such list is one text as
+    it stands, a part of another type the text of its JSON; a missing reference or text is empty, a missing number 0."""
     if not typed:
         return [Text(content or "")]
-    made = []
-    for part in json.loads(content or "[]"):
-        kind = KINDS[part["type"]]
-        made.append(kind(**{k: v for k, v in part.items() if k in kind.__dataclass_fields__}))
+    try:
+        listed = json.loads(content or "[]")
+    except (ValueError, RecursionError):
+        listed = None
+    if not isinstance(listed, list):
+        return [Text(content or "")]
+    made: list = []
+    for part in listed:
+        kind = KINDS.get(part.get("type")) if isinstance(part, dict) and isinstance(part.get("type"), str) else None
+        if kind is None:
+            made.append(Text(part if isinstance(part, str) else json.dumps(part, ensure_ascii=False)))
+            continue
+        text = lambda k, p=part: "" if p.get(k) is None else str(p[k])
+        if kind is Text:
+            made.append(Text(text("text")))
+        else:
+            numbers = {k: _number(part.get(k)) for k in kind.__dataclass_fields__ if k != "ref"}
+            made.append(kind(text("ref"), **{k: v if k == "seconds" else int(v) for k, v in numbers.items()}))
     return made
 
 

@@ -381,6 +381,22 @@ def test_typed_parts():
     assert f.attachments == [("<|image:0|>", "image", "a.png", 4), ("<|document:1|>", "document", "d.pdf", 1600)] and f.text.count("<|image:0|>") == 1
 
 
+@pytest.mark.parametrize(
+    "content, text, attached",
+    [
+        ("{not json", "{not json", []), ("[" * 5000, "[" * 5000, []), ('{"type": "text"}', '{"type": "text"}', []), ("null", "null", []), (None, "", []), ("", "", []),
+        ('["a", 3, null, {"type": "video", "x": 1}, {"type": ["image"]}]', 'a3null{"type": "video", "x": 1}{"type": ["image"]}', []),
+        ('[{"type": "image"}, {"type": "audio", "ref": 5, "seconds": "x"}, {"type": "document", "ref": null, "pages": -3}, {"type": "text"}]', None, [("image", "", 1), ("audio", "5", 1), ("document", "", 1)]),
+        ('[{"type": "image", "ref": "r", "width": 1e400, "height": 2}, {"type": "audio", "ref": "s", "seconds": 1.5}]', None, [("image", "r", 1), ("audio", "s", 38)]),
+    ],
+)
+def test_odd_parts_are_text(content, text, attached):
+    f = chat.format_turns([("user", content)], typed=True)
+    assert [a[1:] for a in f.attachments] == attached
+    if text is not None:
+        assert chat.read_back(f.text) == [("user", text)]
+
+
 # ---------------------------------------------------------------------------- op9
 def plain_tiles(doc, item, least):
     """Greedy string tiling by trying every pair of places."""
