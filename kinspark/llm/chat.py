@@ -190,13 +190,21 @@ _HELD = pa.struct([("mark", pa.string()), ("kind", pa.string()), ("ref", pa.stri
 _FORMATTED = pa.struct([("formatted", pa.string()), ("loss", pa.list_(_SPAN)), ("attachments", pa.list_(_HELD))])
 
 
+#: Conversations whose output a worker holds at a time.
+SLICE = 32
+
+
+def _slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    return (b[at : at + SLICE] for b in batches for at in range(0, len(b), SLICE))
+
+
 def _column(turns: Column, typed: bool) -> Column:
     from pyspark.sql.pandas.functions import arrow_udf
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for one_of in _slices(batches):
             rows = []
-            for one in batch:
+            for one in one_of:
                 f = format_turns([(t["role"], t["text"]) for t in one.as_py()], typed)
                 rows.append({"formatted": f.text, "loss": [dict(zip(("start", "end"), s, strict=True)) for s in f.loss], "attachments": [dict(zip(("mark", "kind", "ref", "tokens"), a, strict=True)) for a in f.attachments]})
             yield pa.array(rows, _FORMATTED)
@@ -230,7 +238,8 @@ def read_chats(formatted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, spans in batches:
-            yield pa.array([digest(t.as_py(), s.as_py()) for t, s in zip(texts, spans, strict=True)], _READ_ARROW)
+            for at in range(0, len(texts), SLICE):
+                yield pa.array([digest(t.as_py(), s.as_py()) for t, s in zip(texts[at : at + SLICE], spans[at : at + SLICE], strict=True)], _READ_ARROW)
 
     run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
     return formatted.select("conv_id", arrow_udf(run, _READ)("formatted", "loss").alias("r")).select("conv_id", "r.*")
