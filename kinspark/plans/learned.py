@@ -56,7 +56,7 @@ def labelled(s: SparkSession, d: str) -> DataFrame:
 def forest_cv(s: SparkSession, d: str) -> DataFrame:
     """Each feature's weight in a forest of 300 trees, and the mean area under ROC of 200 trees on the folds."""
     data = L.prepared(cut(L.sample_negatives(cut(labelled(s, d)))))
-    area = max(L.cross_validated(data, L.forest(depth=12, leaf=5), [200]).avgMetrics)
+    area = float(max(L.cross_validated(data, L.forest(depth=12, leaf=5), [200]).avgMetrics))  # a numpy number, which no row takes
     model = L.forest(trees=300, depth=12, leaf=5).fit(data)
     return s.createDataFrame([(k, round(v, 6), round(area, 6)) for k, v in L.importances(model).items()], "feature string, importance double, cv_area double")
 

@@ -147,3 +147,19 @@ def test_registered_models_have_the_sizes_of_the_survey(spark, monkeypatch):
             query(None, "")
     assert trees == [200] and forests[1].getNumTrees() == 300 and boosts == [{"rounds": 120, "depth": 6}]
     assert all(f.getMaxDepth() == 12 and f.getMinInstancesPerNode() == 5 for f in forests)
+
+
+def test_importances_are_a_table(spark, monkeypatch):
+    from kinspark.plans import learned as P
+
+    r = random.Random(6)
+    rows = [(f"S1-{i}", f"S2-{i}", float(i % 4 == 0), *[r.random() + (i % 4 == 0) for _ in L.FEATURES]) for i in range(120)]
+    pairs = spark.createDataFrame(rows, f"s1_id string, cid string, label double, {', '.join(f'{f} double' for f in L.FEATURES)}")
+    small = L.forest
+    monkeypatch.setattr(P, "labelled", lambda s, d: pairs)
+    monkeypatch.setattr(P, "cut", lambda x: x)
+    monkeypatch.setattr(L, "forest", lambda **k: small(**k | {"trees": 5, "depth": 3}))
+    monkeypatch.setattr(L, "cross_validated", lambda data, estimator, n, f=L.cross_validated: f(data, estimator, [5]))
+    got = P.forest_cv(spark, "").collect()
+    assert {x.feature for x in got} == set(L.FEATURES) and abs(sum(x.importance for x in got) - 1) < 1e-4
+    assert {x.cv_area for x in got} == {got[0].cv_area} and 0.5 < got[0].cv_area <= 1
