@@ -53,6 +53,8 @@ TOP = 3
 CHUNK = 1 << 17
 #: Tokens that are laid out at a time.
 RUN = 5000
+#: Rows of Nyström features or landmark descriptions that are added up at a time.
+ADDED = 4000
 #: Bound on the labelled documents of each class that the model is fitted on.
 PER_CLASS = 1200
 LANDMARKS = 256
@@ -154,11 +156,13 @@ class Landmarks:
         for owner, index, weight in _grams(tokens):
             at = np.where(weight > 0, self.place[index], 0)
             rows, cols = np.nonzero(at)
-            for lo in range(0, len(rows), 20_000):
-                r, c = rows[lo : lo + 20_000], cols[lo : lo + 20_000]
+            for lo in range(0, len(rows), ADDED):
+                r, c = rows[lo : lo + ADDED], cols[lo : lo + ADDED]
                 own = owner[r]
                 first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                out[own[first]] += np.add.reduceat(self.described[at[r, c]] * weight[r, c, None], first, axis=0)
+                part = self.described[at[r, c]]
+                part *= weight[r, c, None]
+                out[own[first]] += np.add.reduceat(part, first, axis=0)
         return out
 
     def table(self, weights: np.ndarray) -> np.ndarray:
@@ -312,22 +316,29 @@ def choose_landmarks(names: list[str], toxic: np.ndarray, clean: np.ndarray, doc
 
 
 def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = PENALTY, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """The least weighted squared hinge loss, by Newton's method on the rows within the margin."""
-    x1 = np.c_[x, np.ones(len(x), np.float32)]
-    w, shrink = np.zeros(x1.shape[1]), np.r_[np.full(x.shape[1], penalty), 1e-9]
+    """The least weighted squared hinge loss, by Newton's method on the rows within the margin, some of which are copied at a time."""
+    w, shrink = np.zeros(x.shape[1] + 1), np.r_[np.full(x.shape[1], penalty), 1e-9]
+
+    def margins(v: np.ndarray) -> np.ndarray:
+        return x @ v[:-1].astype(np.float32) + np.float32(v[-1])
 
     def loss(v: np.ndarray) -> float:
-        return float((weight * np.maximum(0, 1 - y * (x1 @ v.astype(np.float32))) ** 2).sum() / len(y) + (shrink * v * v).sum())
+        return float((weight * np.maximum(0, 1 - y * margins(v)) ** 2).sum() / len(y) + (shrink * v * v).sum())
 
     now = loss(w)
     for _ in range(rounds):
-        inside = 1 - y * (x1 @ w.astype(np.float32))
+        inside = 1 - y * margins(w)
         on = np.flatnonzero(inside > 0)
         if not len(on):
             break
-        part = x1[on] * weight[on, None].astype(np.float32)
-        grad = shrink * w - part.T @ (y[on] * inside[on]) / len(y)
-        step = np.linalg.solve((part.T @ x1[on]).astype(np.float64) / len(y) + np.diag(shrink), grad)
+        grad, curve = shrink * w, np.diag(shrink)
+        for at in range(0, len(on), ADDED):
+            some = on[at : at + ADDED]
+            rows = np.c_[x[some], np.ones(len(some), np.float32)]
+            grad -= rows.T @ (weight[some] * y[some] * inside[some]) / len(y)
+            rows *= np.sqrt(weight[some, None]).astype(np.float32)
+            curve += (rows.T @ rows).astype(np.float64) / len(y)
+        step = np.linalg.solve(curve, grad)
         size = 1.0
         while size > 1e-3 and loss(w - size * step) > now:
             size /= 2
@@ -362,7 +373,7 @@ class _Sentences:
         self.names = list(place)
         self.flat, self.bounds, self.owner = np.array(flat, np.int32), np.array(ends, np.int64), np.array(owner, np.int32)
         self.slot = np.full(len(self.names), -1)
-        self.made: np.ndarray | None = None
+        self.made: list[np.ndarray] = []
 
     def documents_with(self, which: np.ndarray) -> np.ndarray:
         """In how many of the documents marked each token is."""
@@ -379,11 +390,24 @@ class _Sentences:
         begin = np.cumsum(size) - size
         tokens = self.flat[np.repeat(self.bounds[pick] - begin, size) + np.arange(size.sum())]
         new = np.unique(tokens[self.slot[tokens] < 0])
-        if len(new):
-            known = landmarks.kernel([self.names[t] for t in new]) @ half
-            self.slot[new] = (0 if self.made is None else len(self.made)) + np.arange(len(new))
-            self.made = known if self.made is None else np.concatenate([self.made, known])
-        return np.add.reduceat(self.made[self.slot[tokens]], begin, axis=0)
+        for at in range(0, len(new), ADDED):
+            some = new[at : at + ADDED]
+            self.slot[some] = sum(map(len, self.made)) + np.arange(len(some))
+            self.made.append(landmarks.kernel([self.names[t] for t in some]) @ half)
+        # features of all these tokens at once would be by far the most that training holds
+        places, bounds = self.slot[tokens], np.r_[begin, len(tokens)]
+        starts = np.cumsum([0, *map(len, self.made)])
+        out = np.empty((len(pick), half.shape[1]), np.float32)
+        lo = 0
+        while lo < len(pick):
+            hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + ADDED, "right")) - 1)
+            some = places[bounds[lo] : bounds[hi]]
+            block, rows = np.searchsorted(starts, some, "right") - 1, np.empty((len(some), half.shape[1]), np.float32)
+            for b in np.unique(block):
+                rows[block == b] = self.made[b][some[block == b] - starts[b]]
+            out[lo:hi] = np.add.reduceat(rows, bounds[lo:hi] - bounds[lo], axis=0)
+            lo = hi
+        return out
 
 
 def train(rows: list[tuple[str, int]], rounds: int = 4) -> Model:

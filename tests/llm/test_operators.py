@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import unicodedata
 import zlib
 
@@ -51,6 +52,31 @@ def test_quality_table_scores_as_the_mean_of_vectors():
     assert m.scores(["x" * 5, "good words here"])[1] == pytest.approx(good)
 
 
+def test_toxicity_trains_holding_little():
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(5000)]
+    parts = toxicity._Sentences([[rng.sample(words, 30)] for _ in range(3000)])
+    landmarks = toxicity.Landmarks(words[:8])
+    half = np.random.default_rng(2).normal(size=(8, 200)).astype(np.float32)
+    pick = np.arange(len(parts.owner))[::-1]
+    tracemalloc.start()
+    x = parts.features(pick, landmarks, half)
+    # the features of the words and of the sentences, 4 and 2.4 MB, and a part of what they are made of, which is 72 MB
+    assert tracemalloc.get_traced_memory()[1] < 30e6
+    tracemalloc.reset_peak()
+    held = tracemalloc.get_traced_memory()[0]
+    y = np.where(x[:, 0] > np.median(x[:, 0]), 1.0, -1.0)
+    weights, bias = toxicity.svm(np.tile(x, (8, 1)), np.tile(y, 8), np.ones(8 * len(y)), rounds=3)
+    # 8 times the features, 19 MB, and less than another copy of them
+    assert tracemalloc.get_traced_memory()[1] - held < 19.2e6 + 15e6
+    tracemalloc.stop()
+    by_word = landmarks.kernel(parts.names) @ half
+    for row, i in list(zip(x, pick))[::500]:
+        ids = parts.flat[parts.bounds[i] : parts.bounds[i + 1]]
+        assert np.allclose(row, by_word[ids].sum(axis=0), rtol=1e-3, atol=1e-4)
+    assert np.mean(np.sign(x @ weights + bias) == y) > 0.9
+
+
 def test_toxicity_runs_as_its_plain_margin_and_bears_gaps():
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefghilmnorstu") for _ in range(rng.randint(2, 8)))
